@@ -85,3 +85,27 @@ def cores(spark: SparkSession) -> int:
 
 def data_path(*parts: str) -> str:
     return os.path.join(os.path.dirname(__file__), *parts)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per Spark context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_trama_shipped", False):
+        return
+    import shutil
+
+    here = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="trama-package-"), "trama-package")
+    sc.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(here), os.path.basename(here)))
+    sc._trama_shipped = True
+
+
+def shipped(query):
+    """A query (spark, directory) that first sends the package along."""
+
+    def run(spark: SparkSession, directory: str) -> DataFrame:
+        ship(spark)
+        return query(spark, directory)
+
+    run.__name__, run.__doc__ = query.__name__, query.__doc__
+    return run
