@@ -9,7 +9,6 @@ a batch go through all languages at once, one character per step.
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.names import folded, mended
+
 #: The languages told apart, each with the codes and names it goes by, lower case and without accents.
 NAMES = {
     "es": "es spa esp espanol castellano spanish castilian espagnol spanisch spagnolo espanhol espanyol castella",
@@ -37,13 +38,9 @@ STATE_BITS = 40
 DECISIVE_BITS = 24.0
 
 
-def _strip(text: str) -> str:
-    return "".join(c for c in unicodedata.normalize("NFKD", text.lower()) if not unicodedata.combining(c))
-
-
 def named_language(label: str | None) -> str | None:
     """The language a label names by code, name or code with region, or None if it names none of LANGS."""
-    words = re.split(r"[^a-z]+", _strip(label or "").strip(" ()[]"))
+    words = re.split(r"[^a-z]+", folded(label or "").strip(" ()[]"))
     known = [BY_NAME[w] for w in words[:1] if w in BY_NAME]
     return known[0] if known else None
 
@@ -52,7 +49,7 @@ def _symbols() -> np.ndarray:
     table = np.full(0x10000, 30, dtype=np.int64)
     for code in range(0x10000):
         c = chr(code)
-        base = _strip(c)[:1] if 0xD800 > code or code > 0xDFFF else ""
+        base = folded(c)[:1] if 0xD800 > code or code > 0xDFFF else ""
         if "a" <= base <= "z":
             table[code] = ord(base) - 97
         elif c.isspace():
@@ -67,23 +64,6 @@ def _symbols() -> np.ndarray:
 
 
 TABLE = _symbols()
-_GARBLED = re.compile("[ÃÂ][\u0080-¿Œ-™]")
-
-
-def mended(text: str) -> str:
-    """UTF-8 that was read as Latin-1 or Windows-1252, put right character by character where it can be."""
-
-    def back(m: re.Match[str]) -> str:
-        for codec in ("cp1252", "latin-1"):
-            try:
-                return m.group().encode(codec).decode("utf-8")
-            except UnicodeError:
-                continue
-        return m.group()
-
-    return _GARBLED.sub(back, text) if "Ã" in text or "Â" in text else text
-
-
 def encode(text: str) -> np.ndarray:
     """The text's symbols, runs of spaces as one."""
     points = np.frombuffer(mended(text).encode("utf-32-le", "replace"), dtype="<u4")

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import cut, table
+from ..operators.latest import latest
+from ..runtime import blank, cut, table
+from .canonical import NOT_FOUND, mapped
 from .groups import components
 from .language import languages
 from .mixing import mix, mix_report
@@ -57,3 +59,28 @@ def p9_pesos(spark: SparkSession, d: str) -> DataFrame:
     counts = cut(token_counts(table(spark, d, "documents")))
     targets = table(spark, d, "mezcla_objetivo")
     return mix_report(mix(counts, targets), counts, targets)
+
+
+def typed_places(spark: SparkSession, d: str) -> DataFrame:
+    """(campo, clave, valor, provincia) of every non-blank typed place, of the newest row of each record."""
+    born, died = "Lugar de nacimiento", "Lugar de asesinato"
+    people = latest(table(spark, d, "detalles"), "registro", "actualizado_en", [born, died])
+    sites = latest(table(spark, d, "eaaf_lugares"), "sitio_id", "cargado_en", ["LOCALIDAD", "PROVINCIA"])
+    none = F.lit(None).cast("string").alias("provincia")
+    out = sites.select(F.lit("eaaf_lugares.LOCALIDAD").alias("campo"), F.col("sitio_id").alias("clave"), F.col("LOCALIDAD").alias("valor"), F.col("PROVINCIA").alias("provincia"))
+    for c in (born, died):
+        out = out.unionByName(people.select(F.lit(f"detalles.{c}").alias("campo"), F.col("registro").alias("clave"), F.col(f"`{c}`").alias("valor"), none))
+    return out.where(~blank(F.col("valor")))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    rows = cut(typed_places(spark, d))
+    return mapped(rows, table(spark, d, "georef_localidades")).select("campo", "clave", "georef_id")
+
+
+def p5_cobertura(spark: SparkSession, d: str) -> DataFrame:
+    """How many values of each field were found and how many not."""
+    found = p5_found(spark, d)
+    return found.groupBy("campo").agg(
+        F.count("*").alias("valores"), F.count_if(F.col("georef_id") == NOT_FOUND).alias("no_hallados")
+    )

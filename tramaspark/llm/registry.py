@@ -11,6 +11,8 @@ from . import queries
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": queries.p2_found,
     "p2_tamanos": queries.p2_tamanos,
+    "p5_found": queries.p5_found,
+    "p5_cobertura": queries.p5_cobertura,
     "p8_contenedores": queries.p8_contenedores,
     "p8_llenado": queries.p8_llenado,
     "p9_mezcla": queries.p9_mezcla,
