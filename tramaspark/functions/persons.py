@@ -1,0 +1,224 @@
+"""Personal names as typed: parts, nicknames, initials, and whether two can name one person."""
+
+from __future__ import annotations
+
+import re
+from dataclasses import dataclass
+from functools import lru_cache
+
+from .names import folded, jaro_winkler, mended, osa, unscanned
+
+#: Usual given names with the familiar forms they go by; cut-off forms and -ito, -ita need no entry.
+FAMILIAR = {
+    "adolfo": "dolfi fito", "adriana": "", "agustin": "tino", "alberto": "tito beto", "alejandra": "", "alejandro": "", "alfredo": "", "alicia": "",
+    "amalia": "mali", "ana": "anita", "andrea": "", "andres": "", "angel": "", "antonia": "tona", "antonio": "tono", "armando": "", "arturo": "", "beatriz": "betty bety",
+    "carlos": "carlitos charly", "carmen": "", "carolina": "", "catalina": "", "cecilia": "", "clara": "", "claudia": "", "claudio": "", "cristina": "",
+    "daniel": "", "daniela": "", "diego": "", "dolores": "lola", "domingo": "mingo", "eduardo": "lalo edu", "elena": "nena", "elsa": "", "elvira": "vira",
+    "emilia": "mila", "emilio": "", "enrique": "quique kike", "ernesto": "", "estela": "telita", "esther": "", "eva": "", "felipe": "", "fernando": "nando",
+    "francisca": "paca", "francisco": "pancho paco", "gabriel": "", "gabriela": "gaby", "gerardo": "yayo", "gloria": "", "graciela": "chela", "gregorio": "goyo",
+    "guadalupe": "lupe lupita", "guillermo": "memo", "gustavo": "", "hector": "tato", "hilda": "hildita", "horacio": "lacho", "hugo": "huguito", "ignacio": "nacho",
+    "ines": "inesita", "irene": "nene", "isabel": "chabela isa", "jesus": "chucho", "jorge": "coco", "jose": "pepe", "josefina": "pepa", "juan": "juancho juani", "juana": "",
+    "julia": "", "julio": "", "laura": "", "leandro": "", "leonor": "", "liliana": "", "lucia": "luchi", "luis": "lucho", "luisa": "", "manuel": "manolo manu",
+    "marcela": "", "marcelo": "", "marcos": "", "margarita": "", "maria": "mary mari", "mario": "marito", "marta": "", "martin": "tincho", "mercedes": "meche", "miguel": "",
+    "monica": "", "nelida": "", "nestor": "", "nicolas": "", "nora": "", "norma": "normita", "olga": "", "oscar": "cachito", "osvaldo": "valdo", "pablo": "", "patricia": "pato",
+    "pedro": "", "rafael": "", "ramon": "moncho", "raquel": "quela", "raul": "ruli", "ricardo": "cacho richi", "roberto": "beto", "rodolfo": "fito", "rosa": "", "rosario": "charo",
+    "ruben": "", "santiago": "", "sebastian": "", "sergio": "", "silvia": "", "soledad": "", "susana": "susi", "teresa": "tere", "veronica": "", "vicente": "", "victor": "vitorio",
+    "victoria": "vicky", "zulema": "",
+}
+TITLES = set("sr sra srta dr dra don dona ing prof lic cnel gral cap abog arq".split())
+PARTICLES = set("la las los del".split())
+
+
+def _nicknames() -> dict[str, frozenset[str]]:
+    out: dict[str, set[str]] = {}
+    for given, short in FAMILIAR.items():
+        for w in [given, *short.split()]:
+            out.setdefault(w, set()).add(given)
+    return {w: frozenset(g) for w, g in out.items()}
+
+
+NICKNAMES = _nicknames()
+
+
+@lru_cache(100_000)
+def givens(word: str, dotted: bool = False) -> frozenset[str]:
+    """The given names a word may stand for; empty if it looks like none."""
+    if word in NICKNAMES:
+        return NICKNAMES[word]
+    if dotted and 2 <= len(word) <= 4:
+
+        def inside(name: str) -> bool:
+            rest = iter(name)
+            return all(c in rest for c in word)
+
+        return frozenset(g for g in FAMILIAR if g[0] == word[0] and inside(g))
+    if len(word) >= 3:
+        cut = frozenset(g for g in FAMILIAR if g.startswith(word) and len(word) < len(g))
+        if not cut and word.endswith(("ito", "ita", "ino", "ina")) and len(word) >= 6:
+            cut = frozenset(g for g in FAMILIAR if g.startswith(word[:-3]) and len(g) - len(word) <= 1)
+        if cut:
+            return cut
+    if len(word) >= 4:
+        for most in (1, 2) if len(word) >= 7 else (1,):
+            near = frozenset(g for g in FAMILIAR if abs(len(g) - len(word)) <= most and osa(word, g, most) <= most)
+            if near:
+                return near
+    return frozenset()
+
+
+@dataclass(frozen=True)
+class Name:
+    """given and family words in their order; a single letter is an initial."""
+
+    given: tuple[str, ...]
+    family: tuple[str, ...]
+
+    @property
+    def form(self) -> str:
+        return " ".join(self.given) + "|" + " ".join(self.family)
+
+    @property
+    def known(self) -> int:
+        """How much the name says: 2 for a word, 1 for an initial."""
+        return sum(2 if len(w) > 1 else 1 for w in self.given + self.family)
+
+
+def from_form(form: str) -> Name:
+    g, _, f = form.partition("|")
+    return Name(tuple(g.split()), tuple(f.split()))
+
+
+_ASIDE = re.compile(r"\(a\)\s*\w+|\([^)]*\)|[\"“”«»][^\"“”«»]*[\"“”«»]|\balias\s+\w+")
+
+
+def parse(text: str | None) -> Name | None:
+    """The parts of a typed name, in either order, with or without comma; None if nothing is left of it.
+
+    Titles, nicknames in brackets or quotes, and a married name behind "de" are set aside. Words that look like no given
+    name are family names, except that a name has at least one given word if it has two words.
+    """
+    plain = _ASIDE.sub(" ", unscanned(folded(mended(text or "")))).replace("-", " ")
+    head, comma, tail = plain.partition(",")
+    words: list[tuple[str, bool, bool | None]] = []
+    for side, part in ((False, head), (True, tail)):
+        found = re.findall(r"([a-z]+)(\.?)", part)
+        taken: list[tuple[str, bool, bool | None]] = []
+        for k, (w, dot) in enumerate(found):
+            if w in TITLES and (dot or k == 0) and len(found) > 1 and not taken:
+                continue
+            if w == "de" and len(taken) >= 2:
+                break
+            if w in PARTICLES or w in ("de", "y", "e") and not dot and len(w) > 1:
+                continue
+            taken.append((w, bool(dot), side if comma and head.strip() and tail.strip() else None))
+        words += taken
+    given: list[str] = []
+    family: list[str] = []
+    last: bool | None = None
+    for w, dot, side in words:
+        names = givens(w, dot) if len(w) > 1 else frozenset()
+        split = None
+        if len(w) >= 7 and w not in NICKNAMES and not side:
+            split = next(((w[:k], w[k:]) for k in range(3, len(w) - 2) if w[:k] in FAMILIAR and w[k:] in FAMILIAR), None)
+        if split:
+            given += split
+            last = True
+            continue
+        if side is not None:
+            is_given = side
+        elif len(w) == 1:
+            is_given = True if last is None else last
+        else:
+            is_given = bool(names)
+        last = is_given
+        if is_given and len(names) == 1 and len(w) > 1:
+            w = next(iter(names))
+        elif is_given and dot and len(w) > 1 and not names:
+            w = w[0]
+        (given if is_given else family).append(w)
+    if not given and len(family) > 1:
+        given, family = family[:1], family[1:]
+    if not family and len(given) > 2:
+        given, family = given[:-1], given[-1:]
+    return Name(tuple(given[:4]), tuple(family[:4])) if given or family else None
+
+
+@lru_cache(200_000)
+def code(word: str) -> str:
+    """A phonetic code: the first sound and the following consonant sounds of Spanish."""
+    w = word.replace("h", "").replace("qu", "k").replace("ll", "y").replace("v", "b").replace("x", "s").replace("z", "s")
+    w = re.sub(r"g(?=[ei])", "j", w)
+    w = re.sub(r"c(?=[ei])", "s", w).replace("c", "k").replace("w", "u")
+    w = w[:1] + re.sub(r"[aeiouy]", "", w[1:])
+    return re.sub(r"(.)\1+", r"\1", w) or word
+
+
+@lru_cache(500_000)
+def family_close(a: str, b: str) -> float:
+    """How alike two family names are: Jaro-Winkler where few slips or one sound part them, else 0; initials 0.9."""
+    if a == b:
+        return 1.0
+    if len(a) == 1 or len(b) == 1:
+        return 0.9 if a[0] == b[0] else 0.0
+    most = 1 if min(len(a), len(b)) < 7 else 2
+    j = jaro_winkler(a, b)
+    if j >= 0.84 and (osa(a, b, most) <= most or (code(a) == code(b) and osa(a, b, 3) <= 3)):
+        return j
+    return 0.0
+
+
+@lru_cache(500_000)
+def given_close(a: str, b: str) -> float:
+    if a == b:
+        return 1.0
+    x, y = givens(a), givens(b)
+    if len(a) == 1 or len(b) == 1:
+        one, other, names = (a, b, y) if len(a) == 1 else (b, a, x)
+        return 0.9 if one == other[0] or any(n[0] == one for n in names) else 0.0
+    if x and y:
+        return 0.97 if x & y else 0.0
+    j = jaro_winkler(a, b)
+    return j if j >= 0.88 else 0.0
+
+
+def compare(a: Name, b: Name) -> tuple[float, bool]:
+    """(score, whole) of two names: 0 if they cannot name one person; whole if every word of both has its counterpart.
+
+    Family names are matched in order from the first; the name with fewer given words must have all of them in the other.
+    """
+    n = min(len(a.family), len(b.family))
+    if not n or not a.given or not b.given:
+        return 0.0, False
+    total, whole = 0.0, len(a.family) == len(b.family) and len(a.given) == len(b.given)
+    for x, y in zip(a.family, b.family, strict=False):
+        s = family_close(x, y)
+        if not s:
+            return 0.0, False
+        whole = whole and len(x) > 1 and len(y) > 1
+        total += s
+    short, long = (a.given, list(b.given)) if len(a.given) <= len(b.given) else (b.given, list(a.given))
+    for x in short:
+        s, y = max(((given_close(x, y), y) for y in long), default=(0.0, ""))
+        if not s:
+            return 0.0, False
+        whole = whole and len(x) > 1 and len(y) > 1
+        long.remove(y)
+        total += s
+    return total / (n + len(short)), whole
+
+
+def block_keys(name: Name) -> list[tuple[str, str]]:
+    """(key, kind) by phonetic codes: the first family name's code and its one-sound deletions, and the second's code.
+
+    Each goes with the first letters of the given names, sorted. kind is "f" for a whole code of the first family name,
+    "d" for a deletion and "s" for the second.
+    """
+    letters = sorted({n[0] for g in name.given for n in (givens(g) or [g])})
+    out = []
+    if name.family and len(name.family[0]) > 1:
+        c = code(name.family[0])
+        out.append((c, "f"))
+        out += [(v, "d") for v in sorted({c, *(c[:k] + c[k + 1 :] for k in range(len(c)))}) if len(v) > 1]
+    if len(name.family) > 1 and len(name.family[1]) > 1:
+        out.append((code(name.family[1]), "s"))
+    return [(f"{kind}:{letter}:{c}", kind) for c, kind in out for letter in letters]
