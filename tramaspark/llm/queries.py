@@ -13,6 +13,7 @@ from .language import languages
 from .mixing import mix, mix_report
 from .packing import fill_report, pack
 from .tokens import token_counts
+from .variants import linked_pairs
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -84,3 +85,20 @@ def p5_cobertura(spark: SparkSession, d: str) -> DataFrame:
     return found.groupBy("campo").agg(
         F.count("*").alias("valores"), F.count_if(F.col("georef_id") == NOT_FOUND).alias("no_hallados")
     )
+
+
+def named_records(spark: SparkSession, d: str) -> DataFrame:
+    """(clave, nombre) of relaciones, nietxs and victimas, of the newest row of each record."""
+    r = latest(table(spark, d, "relaciones"), "relacion_id", "cargado_en", ["nombre_completo_relacion"])
+    n = latest(table(spark, d, "nietxs"), "id_nietx", "cargado_en", ["nombre_completo"])
+    v = latest(table(spark, d, "victimas"), "victima_id", "capturado_en", ["nombre"])
+    out = None
+    for prefix, t in (("r:", r), ("n:", n), ("v:", v)):
+        key, name = t.columns
+        one = t.select(F.concat(F.lit(prefix), F.col(key).cast("string")).alias("clave"), F.col(name).alias("nombre"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return linked_pairs(named_records(spark, d))

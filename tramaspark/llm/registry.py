@@ -11,6 +11,7 @@ from . import queries
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": queries.p2_found,
     "p2_tamanos": queries.p2_tamanos,
+    "p4_found": queries.p4_found,
     "p5_found": queries.p5_found,
     "p5_cobertura": queries.p5_cobertura,
     "p8_contenedores": queries.p8_contenedores,
