@@ -15,16 +15,17 @@ FAMILIAR = {
     "carlos": "carlitos charly", "carmen": "", "carolina": "", "catalina": "", "cecilia": "", "clara": "", "claudia": "", "claudio": "", "cristina": "",
     "daniel": "", "daniela": "", "diego": "", "dolores": "lola", "domingo": "mingo", "eduardo": "lalo edu", "elena": "nena", "elsa": "", "elvira": "vira",
     "emilia": "mila", "emilio": "", "enrique": "quique kike", "ernesto": "", "estela": "telita", "esther": "", "eva": "", "felipe": "", "fernando": "nando",
-    "francisca": "paca", "francisco": "pancho paco", "gabriel": "", "gabriela": "gaby", "gerardo": "yayo", "gloria": "", "graciela": "chela", "gregorio": "goyo",
-    "guadalupe": "lupe lupita", "guillermo": "memo", "gustavo": "", "hector": "tato", "hilda": "hildita", "horacio": "lacho", "hugo": "huguito", "ignacio": "nacho",
-    "ines": "inesita", "irene": "nene", "isabel": "chabela isa", "jesus": "chucho", "jorge": "coco", "jose": "pepe", "josefina": "pepa", "juan": "juancho juani", "juana": "",
-    "julia": "", "julio": "", "laura": "", "leandro": "", "leonor": "", "liliana": "", "lucia": "luchi", "luis": "lucho", "luisa": "", "manuel": "manolo manu",
-    "marcela": "", "marcelo": "", "marcos": "", "margarita": "", "maria": "mary mari", "mario": "marito", "marta": "", "martin": "tincho", "mercedes": "meche", "miguel": "",
+    "francisca": "paca", "francisco": "fco pancho paco", "gabriel": "", "gabriela": "gaby", "gerardo": "yayo", "gloria": "", "graciela": "chela", "gregorio": "goyo",
+    "guadalupe": "lupe lupita", "guillermo": "gmo memo", "gustavo": "", "hector": "tato", "hilda": "hildita", "horacio": "lacho", "hugo": "huguito", "ignacio": "nacho",
+    "ines": "inesita", "irene": "nene", "isabel": "chabela isa", "jesus": "chucho", "jorge": "coco", "jose": "pepe", "josefina": "pepa", "juan": "jn juancho juani", "juana": "",
+    "julia": "", "julio": "", "laura": "", "leandro": "", "leonor": "", "liliana": "", "lucia": "luchi", "luis": "lucho", "luisa": "", "manuel": "ml manolo manu",
+    "marcela": "", "marcelo": "", "marcos": "", "margarita": "", "maria": "ma mary mari", "mario": "marito", "marta": "", "martin": "tincho", "mercedes": "meche", "miguel": "",
     "monica": "", "nelida": "", "nestor": "", "nicolas": "", "nora": "", "norma": "normita", "olga": "", "oscar": "cachito", "osvaldo": "valdo", "pablo": "", "patricia": "pato",
     "pedro": "", "rafael": "", "ramon": "moncho", "raquel": "quela", "raul": "ruli", "ricardo": "cacho richi", "roberto": "beto", "rodolfo": "fito", "rosa": "", "rosario": "charo",
     "ruben": "", "santiago": "", "sebastian": "", "sergio": "", "silvia": "", "soledad": "", "susana": "susi", "teresa": "tere", "veronica": "", "vicente": "", "victor": "vitorio",
     "victoria": "vicky", "zulema": "",
 }
+UNNAMED = re.compile(r"\b(no hay|sin) (informacion|datos?|nombre|identificar)\b|^\W*(n\W?n|s\W?[dn]|n\W?c|ignorad[oa]|desconocid[oa]|no identificad[oa]|se desconoce)\W*$")
 TITLES = set("sr sra srta dr dra don dona ing prof lic cnel gral cap abog arq".split())
 PARTICLES = set("la las los del".split())
 
@@ -63,6 +64,10 @@ def givens(word: str, dotted: bool = False) -> frozenset[str]:
             near = frozenset(g for g in FAMILIAR if abs(len(g) - len(word)) <= most and osa(word, g, most) <= most)
             if near:
                 return near
+        alike = [n for n in NICKNAMES if code(n) == code(word) and osa(word, n, 2) <= 2]
+        if not alike:
+            alike = [n for n in NICKNAMES if len(n) >= 4 and abs(len(n) - len(word)) <= 1 and n[0] == word[0] and osa(word, n, 1) <= 1]
+        return frozenset().union(*[NICKNAMES[n] for n in alike])
     return frozenset()
 
 
@@ -97,17 +102,24 @@ def parse(text: str | None) -> Name | None:
     Titles, nicknames in brackets or quotes, and a married name behind "de" are set aside. Words that look like no given
     name are family names, except that a name has at least one given word if it has two words.
     """
+    if UNNAMED.search(folded(text or "")):
+        return None
     plain = _ASIDE.sub(" ", unscanned(folded(mended(text or "")))).replace("-", " ")
     head, comma, tail = plain.partition(",")
     words: list[tuple[str, bool, bool | None]] = []
     for side, part in ((False, head), (True, tail)):
         found = re.findall(r"([a-z]+)(\.?)", part)
         taken: list[tuple[str, bool, bool | None]] = []
+        skip = False
         for k, (w, dot) in enumerate(found):
             if w in TITLES and (dot or k == 0) and len(found) > 1 and not taken:
                 continue
+            if skip:
+                skip = False
+                continue
             if w == "de" and len(taken) >= 2:
-                break
+                skip = True
+                continue
             if w in PARTICLES or w in ("de", "y", "e") and not dot and len(w) > 1:
                 continue
             taken.append((w, bool(dot), side if comma and head.strip() and tail.strip() else None))
@@ -115,11 +127,11 @@ def parse(text: str | None) -> Name | None:
     given: list[str] = []
     family: list[str] = []
     last: bool | None = None
-    for w, dot, side in words:
+    for k, (w, dot, side) in enumerate(words):
         names = givens(w, dot) if len(w) > 1 else frozenset()
         split = None
-        if len(w) >= 7 and w not in NICKNAMES and not side:
-            split = next(((w[:k], w[k:]) for k in range(3, len(w) - 2) if w[:k] in FAMILIAR and w[k:] in FAMILIAR), None)
+        if len(w) >= 7 and w not in NICKNAMES and side is not False:
+            split = next(((w[:i], w[i:]) for i in range(3, len(w) - 2) if w[:i] in FAMILIAR and w[i:] in FAMILIAR), None)
         if split:
             given += split
             last = True
@@ -127,7 +139,9 @@ def parse(text: str | None) -> Name | None:
         if side is not None:
             is_given = side
         elif len(w) == 1:
-            is_given = True if last is None else last
+            before_given = k + 1 < len(words) and len(words[k + 1][0]) > 1 and bool(givens(*words[k + 1][:2]))
+            # between a family and a given name it is the second family name's, if that has not come yet
+            is_given = last if last is not None and not (before_given and len(family) != 1) else True
         else:
             is_given = bool(names)
         last = is_given
@@ -136,6 +150,11 @@ def parse(text: str | None) -> Name | None:
         elif is_given and dot and len(w) > 1 and not names:
             w = w[0]
         (given if is_given else family).append(w)
+    if len(family) > 2 and given and words[0][0] == family[0] and words[1][0] not in family:
+        # an odd word before a given name is one itself
+        given, family = [family[0], *given], family[1:]
+    if not given and len(family) > 1 and len(family[-1]) == 1:
+        given, family = family[-1:], family[:-1]
     if not given and len(family) > 1:
         given, family = family[:1], family[1:]
     if not family and len(given) > 2:
@@ -184,7 +203,8 @@ def given_close(a: str, b: str) -> float:
 def compare(a: Name, b: Name) -> tuple[float, bool]:
     """(score, whole) of two names: 0 if they cannot name one person; whole if every word of both has its counterpart.
 
-    Family names are matched in order from the first; the name with fewer given words must have all of them in the other.
+    Family names are matched in order from the first. A name with fewer given words must have all of them in the other, its
+    first one as the first; equally many may stand in any order.
     """
     n = min(len(a.family), len(b.family))
     if not n or not a.given or not b.given:
@@ -197,7 +217,9 @@ def compare(a: Name, b: Name) -> tuple[float, bool]:
         whole = whole and len(x) > 1 and len(y) > 1
         total += s
     short, long = (a.given, list(b.given)) if len(a.given) <= len(b.given) else (b.given, list(a.given))
-    for x in short:
+    for k, x in enumerate(short):
+        if k == 0 and len(short) < len(long) and not given_close(x, long[0]):
+            return 0.0, False
         s, y = max(((given_close(x, y), y) for y in long), default=(0.0, ""))
         if not s:
             return 0.0, False
