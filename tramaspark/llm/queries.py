@@ -10,6 +10,7 @@ from ..runtime import blank, cut, table
 from .canonical import NOT_FOUND, mapped
 from .groups import components
 from .language import languages
+from .linkage import link
 from .mixing import mix, mix_report
 from .packing import fill_report, pack
 from .tokens import token_counts
@@ -102,3 +103,35 @@ def named_records(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return linked_pairs(named_records(spark, d))
+
+
+def person_records(spark: SparkSession, d: str) -> DataFrame:
+    """Every victimas, detalles and nietxs record in one shape, of the newest row of each."""
+    v = latest(table(spark, d, "victimas"), "victima_id", "capturado_en", ["nombre", "datos_personales"])
+    own = ["nombre_completo", "descripcion_fecha_nacimiento", "descripcion_fecha_de_secuestro", "descripcion_lugar_de_secuestro", "Lugar de nacimiento", "Ocupaciones"]
+    p = latest(table(spark, d, "detalles"), "registro", "actualizado_en", ["nombre", "apellido", *own])
+    n = latest(table(spark, d, "nietxs"), "id_nietx", "cargado_en", ["nombre_completo", "detalle_data", "busqueda"])
+    none = F.lit(None).cast("string")
+    m = lambda k: F.try_element_at("datos_personales", F.lit(k))
+    shape = ["clave", "tabla", "nombre", "nacimiento", "lugar", "secuestro", "lugar_secuestro", "ocupacion", "nota", "anio", "mes", "dia"]
+
+    def row(prefix: str, key: str, *cols):
+        first = [F.concat(F.lit(f"{prefix}:"), F.col(key).cast("string")), F.lit(prefix)]
+        return [c.alias(name) for c, name in zip([*first, *cols], shape, strict=True)]
+
+    typed = F.when(blank(F.col("apellido")) | blank(F.col("nombre")), F.col("nombre_completo")).otherwise(F.concat_ws(", ", "apellido", "nombre"))
+    no = F.lit(None).cast("int")
+    return (
+        v.select(*row("v", "victima_id", F.col("nombre"), m("fecha_de_nacimiento"), F.coalesce(m("lugar_de_nacimiento"), m("nacido_en")), m("fecha_de_secuestro"), m("lugar_de_secuestro"), m("ocupación"), none, no, none, no))
+        .unionByName(p.select(*row("d", "registro", typed, F.col("descripcion_fecha_nacimiento"), F.col("Lugar de nacimiento"), F.col("descripcion_fecha_de_secuestro"), F.col("descripcion_lugar_de_secuestro"), F.col("Ocupaciones"), none, no, none, no)))
+        .unionByName(n.select(*row("n", "id_nietx", F.col("nombre_completo"), none, none, none, none, none, F.col("detalle_data"), F.col("busqueda")["año"], F.col("busqueda")["mes"], F.col("busqueda")["dia"])))
+    )
+
+
+def p6_enlaces(spark: SparkSession, d: str) -> DataFrame:
+    """The linked pairs with a confidence."""
+    return link(person_records(spark, d))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return p6_enlaces(spark, d).select("clave_a", "clave_b")

@@ -14,6 +14,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": queries.p4_found,
     "p5_found": queries.p5_found,
     "p5_cobertura": queries.p5_cobertura,
+    "p6_found": queries.p6_found,
+    "p6_enlaces": queries.p6_enlaces,
     "p8_contenedores": queries.p8_contenedores,
     "p8_llenado": queries.p8_llenado,
     "p9_mezcla": queries.p9_mezcla,
