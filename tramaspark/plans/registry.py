@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import training, training_sql
+from . import reference, reference_sql, training, training_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": training.p1_found,
@@ -14,5 +14,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": training.p3_found,
     "p3_rutas": training.p3_rutas,
     "p7_found": training.p7_found,
+    **reference.QUERIES,
 }
-SQL: dict[str, str] = dict(training_sql.SQL)
+SQL: dict[str, str] = training_sql.SQL | reference_sql.SQL
