@@ -14,7 +14,7 @@ from ..operators.latest import latest
 from ..operators.place_merge import merges, slip_pairs
 from ..operators.reconcile import exact_candidates, fuzzy_candidates, placeholders
 from ..operators.resolve import resolve_places
-from ..operators.upsert import linked, redirect, upsert, violations, with_placeholders
+from ..operators.upsert import edge_set, linked, redirect, upsert, violations, with_placeholders
 from ..runtime import cut, table
 from . import analytics as A
 from . import graph as G
@@ -123,7 +123,8 @@ def linked_events(s: SparkSession, d: str) -> DataFrame:
 
 def parent_links(s: SparkSession, d: str) -> DataFrame:
     j = table(s, d, "jerarquias").where("tipo_relacion = 'PARTE_DE' and child_key <> '' and parent_key <> ''")
-    both = linked(j, j, "child_key", "parent_key").select("child_key", "parent_key").distinct()
+    nodes = j.select(F.explode(F.array("child_key", "parent_key")).alias("lugar_key"))
+    both = edge_set(linked(linked(j, nodes, "lugar_key", "child_key"), nodes, "lugar_key", "parent_key"), ["child_key", "parent_key"])
     return both.withColumn("fecha", F.lit("ETERNA"))
 
 
