@@ -64,7 +64,7 @@ def givens(word: str, dotted: bool = False) -> frozenset[str]:
             near = frozenset(g for g in FAMILIAR if abs(len(g) - len(word)) <= most and osa(word, g, most) <= most)
             if near:
                 return near
-        alike = [n for n in NICKNAMES if code(n) == code(word) and osa(word, n, 2) <= 2]
+        alike = [n for n in NICKNAMES if n[-1] == word[-1] and code(n) == code(word) and osa(word, n, 2) <= 2]
         if not alike:
             alike = [n for n in NICKNAMES if len(n) >= 4 and abs(len(n) - len(word)) <= 1 and n[0] == word[0] and osa(word, n, 1) <= 1]
         return frozenset().union(*[NICKNAMES[n] for n in alike])

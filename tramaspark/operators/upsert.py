@@ -51,7 +51,7 @@ def redirect(edges: DataFrame, merges: DataFrame, columns: list[str]) -> DataFra
     for c in columns:
         to = merges.select(F.col("source_key").alias(c), F.col("target_key").alias("__to"))
         out = lookup(out, to, c).withColumn(c, F.coalesce("__to", c)).drop("__to")
-    return out.distinct()
+    return out.select(*edges.columns).distinct()
 
 
 def without_merged(vertices: DataFrame, merges: DataFrame, key: str) -> DataFrame:
