@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..runtime import discard, lookup, stored
 from .latest import latest
 
-SALTS = 64
+SALTS = 256
 
 
 def parents(links: DataFrame, child: str, parent: str, ts: str) -> DataFrame:
