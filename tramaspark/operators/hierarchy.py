@@ -50,7 +50,7 @@ def climb(start: DataFrame, sums: list[str], size: bool = False) -> tuple[DataFr
             break
         before = n
         above = state.select(F.col("node").alias("ptr"), F.col("ptr").alias("__p"), F.col("top").alias("__t"), *[F.col(s).alias(f"__{s}") for s in sums])
-        moved = lookup(active, above, "ptr").select(
+        moved = lookup(active, above, "ptr", rows=n).select(
             "node", F.col("__p").alias("ptr"), F.col("__t").alias("top"),
             *[(F.col(s) + F.col(f"__{s}")).alias(s) for s in sums], *(["size"] if size else []),
         )
@@ -71,6 +71,7 @@ def circles(links: DataFrame) -> DataFrame:
     """
     spark = links.sparkSession
     state, path = stored(links.select("node", F.col("parent").alias("ptr"), F.col("node").alias("low")))
+    total = state.count()
     image, changed, first = -1, True, True
     while True:
         now = state.select("ptr").distinct()
@@ -78,7 +79,7 @@ def circles(links: DataFrame) -> DataFrame:
         if n == 0 or (n == image and not changed and not first):
             break
         onward = state.select(F.col("node").alias("ptr"), F.col("ptr").alias("__p"), F.col("low").alias("__low"))
-        new = lookup(state, onward, "ptr").select(
+        new = lookup(state, onward, "ptr", rows=total).select(
             "node", F.col("__p").alias("ptr"), F.least("low", "__low").alias("low"), (F.col("__low") < F.col("low")).alias("__fell")
         )
         old = path
@@ -90,7 +91,7 @@ def circles(links: DataFrame) -> DataFrame:
         discard(spark, old)
     on = state.select(F.col("ptr").alias("node")).distinct().join(state, "node").select("node", F.col("low").alias("root_key"))
     rest = state.join(on.select("node"), "node", "left_anti")
-    below = lookup(rest.select("node", "ptr"), on.select(F.col("node").alias("ptr"), "root_key"), "ptr")
+    below = lookup(rest.select("node", "ptr"), on.select(F.col("node").alias("ptr"), "root_key"), "ptr", rows=total)
     return on.withColumn("depth", F.lit(-1)).unionByName(below.select("node", "root_key").withColumn("depth", F.lit(-2)))
 
 
@@ -136,11 +137,12 @@ def hierarchy(links: DataFrame, child: str, parent: str, ts: str) -> tuple[DataF
     start = base.select("node", F.col("parent").alias("ptr"), F.when(F.col("parent").isNull(), 0).otherwise(1).alias("d"))
     reached, rest, _ = climb(start, ["d"], size=True)
     cyclic = circles(base.join(rest, "node", "left_semi"))
+    total = base.count()
     tree, _ = stored(base.join(reached.select("node", "size"), "node"))
     labelled, _ = stored(chains(tree))
     heads = labelled.where(F.col("head") == F.col("node"))
     up = labelled.select(F.col("node").alias("parent"), F.col("head").alias("up_head"), F.col("pos").alias("up_pos"), F.col("heavy_size").alias("up_heavy"))
-    hung = lookup(heads.select("head", "parent"), up, "parent").join(light_offsets(labelled), "head", "left")
+    hung = lookup(heads.select("head", "parent"), up, "parent", rows=total).join(light_offsets(labelled), "head", "left")
     top = F.col("parent").isNull()
     flat = hung.select(
         F.col("head").alias("node"), F.col("up_head").alias("ptr"),
@@ -150,7 +152,7 @@ def hierarchy(links: DataFrame, child: str, parent: str, ts: str) -> tuple[DataF
     )
     resolved, _, _ = climb(flat, ["depth", "pre", "level"])
     by_head = resolved.select(F.col("node").alias("head"), F.col("top").alias("root_key"), F.col("depth").alias("h_depth"), F.col("pre").alias("h_pre"), "level")
-    nodes = lookup(labelled, by_head, "head").select(
+    nodes = lookup(labelled, by_head, "head", rows=total).select(
         "node", "parent", "root_key", (F.col("h_depth") + F.col("pos")).cast("int").alias("depth"), "size", "head",
         "pos", (F.col("h_pre") + F.col("pos")).alias("pre"), F.col("level").cast("int").alias("level"),
     )

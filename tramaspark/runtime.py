@@ -57,13 +57,16 @@ def blank(c: Column) -> Column:
     return c.isNull() | (F.trim(F.regexp_replace(c, r"(?U)\s+", " ")) == "")
 
 
-def lookup(left: DataFrame, right: DataFrame, key: str, hot_rows: int = 200_000, how: str = "left") -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, key: str, hot_rows: int = 200_000, how: str = "left", rows: int | None = None) -> DataFrame:
     """Join left to right, of which `key` is unique, without sending the rows of a hot key to one task.
 
     A key that more than `hot_rows` rows of left carry is hot: there are at most count(left) / hot_rows such keys, so
     their rows of right are few enough to broadcast whatever the data look like (the bound is what makes the broadcast
-    safe). All other keys are joined by a shuffle. Null keys match nothing; with how='left' they stay.
+    safe). All other keys are joined by a shuffle. Null keys match nothing; with how='left' they stay. rows: the number of
+    rows of left where it is known, by which the count per key is spared if no key can be hot.
     """
+    if rows is not None and rows <= hot_rows:
+        return left.join(right, key, how)
     counts = left.groupBy(key).count().where((F.col("count") > hot_rows) & F.col(key).isNotNull())
     hot = [r[0] for r in counts.select(key).collect()]
     if not hot:
