@@ -172,6 +172,18 @@ SQL: dict[str, str] = {
     "ref_k14_constraints": "SELECT 'detalles' AS tabla, 'existencia' AS regla, c AS columna, n AS filas FROM (SELECT 'registro' c, count(*) FILTER (WHERE registro IS NULL) n FROM detalles UNION ALL SELECT 'nombre', count(*) FILTER (WHERE nombre IS NULL) FROM detalles UNION ALL SELECT 'Nacionalidad', count(*) FILTER (WHERE Nacionalidad IS NULL) FROM detalles) UNION ALL SELECT 'detalles', 'unicidad', 'registro', count(*) FROM (SELECT registro FROM detalles WHERE registro IS NOT NULL GROUP BY registro HAVING count(*) > 1)",
     "ref_j1_gazetteer_hits": HITS + "SELECT DISTINCT alias, name, arg_min(level, CASE level WHEN 'LOCALIDAD' THEN 1 WHEN 'DEPARTAMENTO' THEN 2 ELSE 3 END) OVER (PARTITION BY alias, name, province, department) AS level, province, department FROM g JOIN gaz ON gram = name WHERE level = 'PROVINCIA' OR alias NOT IN (SELECT alias FROM said) OR (alias, province) IN (SELECT alias, province FROM said)",
     "ref_j2_provinces_said": HITS + "SELECT alias, province FROM said",
+    "ref_j3_gazetteer_best": HITS
+    + """, m AS (SELECT g.alias, gram AS name, level, z.province, department, georef_id, k, i,
+        CASE level WHEN 'LOCALIDAD' THEN 0.80::DOUBLE + least(0.15::DOUBLE, k * 0.02::DOUBLE) WHEN 'DEPARTAMENTO' THEN 0.71::DOUBLE + least(0.12::DOUBLE, k * 0.02::DOUBLE) ELSE 0.75::DOUBLE + least(0.10::DOUBLE, k * 0.02::DOUBLE) END
+        + CASE WHEN level = 'PROVINCIA' OR g.alias NOT IN (SELECT alias FROM said) THEN 0::DOUBLE WHEN level = 'LOCALIDAD' THEN 0.06::DOUBLE ELSE 0.05::DOUBLE END
+        - CASE WHEN level <> 'PROVINCIA' AND i > 0 AND t[i] IN ('CALLE', 'AV', 'AVENIDA', 'RUTA', 'PASAJE', 'PJE', 'NRO', 'NUMERO') THEN 0.12::DOUBLE ELSE 0::DOUBLE END
+        - CASE WHEN level <> 'PROVINCIA' AND regexp_full_match(t[i + k + 1], '[0-9]+') THEN 0.10::DOUBLE ELSE 0::DOUBLE END AS score,
+        CASE level WHEN 'LOCALIDAD' THEN 1 WHEN 'DEPARTAMENTO' THEN 3 ELSE 4 END AS r FROM g JOIN gaz z ON gram = z.name
+        WHERE level = 'PROVINCIA' OR g.alias NOT IN (SELECT alias FROM said) OR (g.alias, z.province) IN (SELECT alias, province FROM said)),
+    b AS (SELECT alias, name, province, department, max(score) AS score, arg_max(level, (round(score, 9), -r)) AS level, min((-k, i, r, coalesce(try_cast(regexp_extract(georef_id, '([0-9]+)', 1) AS INT), 0))) AS first FROM m GROUP BY ALL),
+    o AS (SELECT *, row_number() OVER w AS n, lead(score) OVER w AS s2, lead(province) OVER w AS p2 FROM b WINDOW w AS (PARTITION BY alias ORDER BY round(score, 9) DESC, length(name) DESC, first))
+    SELECT alias, name, level, province, department, round(score, 6) AS score FROM o WHERE n = 1 AND score >= 0.76 AND (s2 IS NULL OR score - s2 >= 0.02 OR province = p2)""",
+    "ref_j6_context": f"WITH {EAA}, {GAZ}, c AS (SELECT DISTINCT {geo('PROVINCIA')} AS context FROM eaa WHERE {geo('PROVINCIA')} <> '') SELECT context, 'BUENOS AIRES' AS preferred, level, name, province, department FROM (SELECT *, row_number() OVER (PARTITION BY context ORDER BY CASE level WHEN 'DEPARTAMENTO' THEN 1 ELSE 2 END) rn FROM c JOIN gaz ON context = name WHERE level <> 'LOCALIDAD') WHERE rn = 1",
     "ref_j10_exact_candidates": BASE + "SELECT * FROM exa",
     "ref_j12_placeholders": BASE + "SELECT DISTINCT p AS placeholder_key FROM (SELECT source_key p FROM kin UNION ALL SELECT target_key FROM kin) WHERE p LIKE 'nombre:%'",
     "ref_t1_chain_edges": "SELECT georef_id AS child_key, departamento AS parent_key FROM georef_localidades UNION SELECT departamento, provincia FROM georef_localidades",

@@ -64,3 +64,29 @@ SELECT node AS node_key, root AS root_key, depth::INT AS depth, ruta, coalesce(k
 """
 )
 SQL = {"p1_found": P1_FOUND, "p1_delitos": P1_DELITOS, "p3_found": P3_FOUND, "p3_rutas": P3_RUTAS}
+
+_NUM = r"^-?[0-9]+([.,][0-9]+)?(E[+-]?[0-9]+)? ?°?$"
+_DMS = r"^([0-9]+)°([0-9]+)''([0-9.,]+)\"([NSEWO])$"
+
+
+def _degrees(t: str) -> str:
+    x = f"trim(replace({t}, chr(160), ' '))"
+    m = f"regexp_extract({x}, '{_DMS}', ['d', 'm', 's', 'h'])"
+    value = f"({m}.d::DOUBLE + {m}.m::DOUBLE / 60 + replace({m}.s, ',', '.')::DOUBLE / 3600)"
+    return f"CASE WHEN regexp_matches({x}, '{_NUM}') THEN try_cast(replace(replace(replace({x}, ',', '.'), '°', ''), ' ', '') AS DOUBLE) WHEN regexp_matches({x}, '{_DMS}') THEN CASE WHEN {m}.h IN ('S', 'W', 'O') THEN -{value} ELSE {value} END END"
+
+
+P7_FOUND = f"""
+WITH c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_ccd ORDER BY actualizado_en DESC) rn FROM ccds WHERE id_ccd IS NOT NULL) WHERE rn = 1),
+e AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sitio_id ORDER BY cargado_en DESC) rn FROM eaaf_lugares WHERE sitio_id IS NOT NULL) WHERE rn = 1),
+p0 AS (SELECT 'c:' || id_ccd AS k, lat, lon FROM c UNION ALL SELECT 'e:' || sitio_id, {_degrees('"Lat"')}, {_degrees('"Long"')} FROM e),
+p AS (SELECT *, radians(lat) AS y, radians(lon) AS x FROM p0 WHERE abs(lat) <= 90 AND abs(lon) <= 180 AND NOT (lat = 0 AND lon = 0)),
+near AS (SELECT a.k AS clave_a, b.k AS clave_b FROM p a JOIN p b ON a.k < b.k AND abs(a.lat - b.lat) < 0.01
+  WHERE 2 * 6371008.8 * asin(sqrt(least(1, pow(sin((b.y - a.y) / 2), 2) + cos(a.y) * cos(b.y) * pow(sin((b.x - a.x) / 2), 2)))) <= 500),
+ring AS (SELECT area_id, string_split(r, ',') AS v FROM (SELECT area_id, unnest(regexp_extract_all(wkt, '\\(([^()]+)\\)', 1)) AS r FROM (SELECT DISTINCT ON (area_id) area_id, wkt FROM areas_militares))),
+seg AS (SELECT area_id, string_split(trim(v[i]), ' ') AS f, string_split(trim(v[i + 1]), ' ') AS g FROM (SELECT area_id, v, unnest(range(1, len(v))) AS i FROM ring)),
+s AS (SELECT area_id, f[1]::DOUBLE AS x1, f[2]::DOUBLE AS y1, g[1]::DOUBLE AS x2, g[2]::DOUBLE AS y2 FROM seg),
+held AS (SELECT k AS clave_a, 'r:' || area_id AS clave_b FROM p JOIN s ON (y1 > lat) <> (y2 > lat) AND lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1 GROUP BY ALL HAVING count(*) % 2 = 1)
+SELECT clave_a, clave_b FROM near UNION ALL SELECT clave_a, clave_b FROM held
+"""
+SQL["p7_found"] = P7_FOUND
