@@ -13,6 +13,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_delitos": training.p1_delitos,
     "p3_found": training.p3_found,
     "p3_rutas": training.p3_rutas,
+    "p3_descendientes": training.p3_descendientes,
     "p7_found": training.p7_found,
     **reference.QUERIES,
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import geo
-from ..operators.hierarchy import hierarchy, paths
+from ..operators.hierarchy import descendants, hierarchy, paths
 from ..operators.latest import latest
 from ..operators.nested import flatten, parse_json_column
 from ..runtime import cut, table
@@ -60,6 +60,13 @@ def p3_rutas(spark: SparkSession, d: str) -> DataFrame:
     return out.select(F.col("node").alias("node_key"), "root_key", "depth", F.col("path").alias("ruta"), (F.col("size") - 1).alias("n_descendientes"))
 
 
+def p3_descendientes(spark: SparkSession, d: str) -> DataFrame:
+    """Every node with each of its descendants."""
+    nodes, _ = hierarchy(_parte_de(spark, d), "child_key", "parent_key", "cargado_en")
+    nodes = cut(nodes)
+    return descendants(nodes, nodes).select(F.col("ancestor").alias("node_key"), F.col("node").alias("descendiente"))
+
+
 def located_points(spark: SparkSession, d: str) -> DataFrame:
     c = latest(table(spark, d, "ccds"), "id_ccd", "actualizado_en", ["lat", "lon"])
     e = latest(table(spark, d, "eaaf_lugares"), "sitio_id", "cargado_en", ["Lat", "Long"])

@@ -63,7 +63,15 @@ n AS (SELECT above, count(*) AS k FROM anc GROUP BY above)
 SELECT node AS node_key, root AS root_key, depth::INT AS depth, ruta, coalesce(k, 0)::BIGINT AS n_descendientes FROM tree LEFT JOIN n ON n.above = tree.node
 """
 )
-SQL = {"p1_found": P1_FOUND, "p1_delitos": P1_DELITOS, "p3_found": P3_FOUND, "p3_rutas": P3_RUTAS}
+P3_DESCENDIENTES = (
+    P3_BASE
+    + """
+anc AS (SELECT node, parent AS above FROM base WHERE parent IS NOT NULL AND node IN (SELECT node FROM tree)
+  UNION ALL SELECT anc.node, base.parent FROM anc JOIN base ON anc.above = base.node WHERE base.parent IS NOT NULL)
+SELECT above AS node_key, node AS descendiente FROM anc
+"""
+)
+SQL = {"p3_descendientes": P3_DESCENDIENTES, "p1_found": P1_FOUND, "p1_delitos": P1_DELITOS, "p3_found": P3_FOUND, "p3_rutas": P3_RUTAS}
 
 _NUM = r"^-?[0-9]+([.,][0-9]+)?(E[+-]?[0-9]+)? ?°?$"
 _DMS = r"^([0-9]+)°([0-9]+)''([0-9.,]+)\"([NSEWO])$"

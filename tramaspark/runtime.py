@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,15 +93,24 @@ def data_path(*parts: str) -> str:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once per Spark context."""
+    """Send this package to the executors' Python workers, once per Spark context, by way of the shared folder."""
     sc = spark.sparkContext
     if getattr(sc, "_trama_shipped", False):
         return
-    import shutil
-
     here = os.path.dirname(os.path.abspath(__file__))
-    base = os.path.join(tempfile.mkdtemp(prefix="trama-package-"), "trama-package")
-    sc.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(here), os.path.basename(here)))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(here)))
+    where = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/trama/package-{uuid.uuid4().hex}.zip")
+    fs = where.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(where)
+    out.write(packed.getvalue())
+    out.close()
+    sc.addPyFile(fs.makeQualified(where).toString())
     sc._trama_shipped = True
 
 
