@@ -107,14 +107,14 @@ def clusters(names: DataFrame) -> DataFrame:
     """(form, group_key): forms that name one person.
 
     Forms of which every word has its counterpart are connected first. Then, level by level from the fullest names to
-    the barest, a component joins the fuller ones that its forms can be, if these are one and the same; where a short
-    name fits several persons it stays by itself.
+    the barest, a component joins the fuller ones that its forms can be, if these are one and the same (of two equally
+    full ones, the one of the greater form joins the other); where a short name fits several persons it stays by itself.
     """
     names, _ = stored(names.select("form").distinct())
     pairs, _ = stored(name_pairs(names))
     whole = components(pairs.where("whole"), F.col("form_a"), F.col("form_b"))
     label, _ = stored(names.join(whole.withColumnRenamed("record_key", "form"), "form", "left").select("form", F.coalesce("group_key", "form").alias("root")))
-    partial = pairs.where(~F.col("whole") & (F.col("known_a") != F.col("known_b")))
+    partial = pairs.where(~F.col("whole"))
     up = F.col("known_a") < F.col("known_b")
     weak, _ = stored(
         partial.select(
@@ -130,9 +130,8 @@ def clusters(names: DataFrame) -> DataFrame:
         above = label.select(F.col("form").alias("more"), F.col("root").alias("up"))
         edge = lookup(lookup(here, own, "less"), above, "more").where("own != up")
         parent = edge.groupBy("own").agg(F.min("up").alias("up"), F.max("up").alias("__last")).where(F.col("up") == F.col("__last")).select("own", "up")
-        if low == 2:
-            # of two barest components only one may follow the other
-            parent = parent.join(parent.select(F.col("own").alias("up"), F.lit(True).alias("__moves")), "up", "left").where("__moves is null").select("own", "up")
+        # a component that follows another itself is followed in a later round only
+        parent = parent.join(parent.select(F.col("own").alias("up"), F.lit(True).alias("__moves")), "up", "left").where("__moves is null").select("own", "up")
         moved = lookup(label.withColumnRenamed("root", "own"), parent, "own")
         label, _ = stored(moved.select("form", F.coalesce("up", "own").alias("root")))
     return label.withColumnRenamed("root", "group_key")
