@@ -10,7 +10,7 @@ from .names import folded, jaro_winkler, mended, osa, unscanned
 
 #: Usual given names with the familiar forms they go by; cut-off forms and -ito, -ita need no entry.
 FAMILIAR = {
-    "adolfo": "dolfi fito", "adriana": "", "agustin": "tino", "alberto": "tito beto", "alejandra": "", "alejandro": "", "alfredo": "", "alicia": "",
+    "adolfo": "dolfi", "adriana": "", "agustin": "tino", "alberto": "tito", "alejandra": "", "alejandro": "", "alfredo": "", "alicia": "",
     "amalia": "mali", "ana": "anita", "andrea": "", "andres": "", "angel": "", "antonia": "tona", "antonio": "tono", "armando": "", "arturo": "", "beatriz": "betty bety",
     "carlos": "carlitos charly", "carmen": "", "carolina": "", "catalina": "", "cecilia": "", "clara": "", "claudia": "", "claudio": "", "cristina": "",
     "daniel": "", "daniela": "", "diego": "", "dolores": "lola", "domingo": "mingo", "eduardo": "lalo edu", "elena": "nena", "elsa": "", "elvira": "vira",
@@ -41,6 +41,12 @@ def _nicknames() -> dict[str, frozenset[str]]:
 NICKNAMES = _nicknames()
 
 
+@lru_cache(100_000)
+def _familiar(word: str) -> frozenset[str]:
+    """The given names a word is, is a nickname of, or is the beginning of."""
+    return NICKNAMES.get(word) or frozenset(g for g in FAMILIAR if g.startswith(word))
+
+
 @lru_cache(100_000)
 def givens(word: str, dotted: bool = False) -> frozenset[str]:
     """The given names a word may stand for; empty if it looks like none."""
@@ -131,9 +137,9 @@ def parse(text: str | None) -> Name | None:
         names = givens(w, dot) if len(w) > 1 else frozenset()
         split = None
         if len(w) >= 7 and w not in NICKNAMES and side is not False:
-            split = next(((w[:i], w[i:]) for i in range(3, len(w) - 2) if w[:i] in FAMILIAR and w[i:] in FAMILIAR), None)
+            split = next(((w[:i], w[i:]) for i in range(3, len(w) - 2) if w[i:] in FAMILIAR and _familiar(w[:i])), None)
         if split:
-            given += split
+            given += [next(iter(n)) if len(n := _familiar(x)) == 1 else x for x in split]
             last = True
             continue
         if side is not None:
@@ -214,7 +220,7 @@ def compare(a: Name, b: Name) -> tuple[float, bool]:
         s = family_close(x, y)
         if not s:
             return 0.0, False
-        whole = whole and len(x) > 1 and len(y) > 1
+        whole = whole and (x == y or (len(x) > 1 and len(y) > 1))
         total += s
     short, long = (a.given, list(b.given)) if len(a.given) <= len(b.given) else (b.given, list(a.given))
     for k, x in enumerate(short):
@@ -223,7 +229,7 @@ def compare(a: Name, b: Name) -> tuple[float, bool]:
         s, y = max(((given_close(x, y), y) for y in long), default=(0.0, ""))
         if not s:
             return 0.0, False
-        whole = whole and len(x) > 1 and len(y) > 1
+        whole = whole and (x == y or (len(x) > 1 and len(y) > 1))
         long.remove(y)
         total += s
     return total / (n + len(short)), whole
