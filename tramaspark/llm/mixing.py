@@ -18,14 +18,14 @@ def rates(counts: DataFrame, targets: DataFrame) -> DataFrame:
     out. A target source that no document has gets the rate 0.
     """
     by_source = counts.groupBy("source").agg(F.sum("n_tokens").alias("disponible"))
-    corpus = by_source.agg(F.coalesce(F.sum("disponible"), F.lit(0)).alias("corpus"))
+    corpus = float(counts.agg(F.sum("n_tokens")).collect()[0][0] or 0)
     goal = (
         targets.where("mezcla_id is not null and source is not null and peso > 0")
         .groupBy("mezcla_id", "source")
         .agg(F.sum("peso").alias("peso"), F.max("max_repeticiones").alias("maximo"), F.max("fraccion_corpus").alias("fraccion"))
     )
-    joined = goal.join(by_source, "source", "left").crossJoin(corpus)
-    target = F.col("peso") * F.col("fraccion") * F.col("corpus")
+    joined = goal.join(by_source, "source", "left")
+    target = F.col("peso") * F.col("fraccion") * F.lit(corpus)
     has = F.coalesce("disponible", F.lit(0))
     rate = F.when(has > 0, F.least(target / has, F.coalesce("maximo", F.lit(1)).cast("double"))).otherwise(F.lit(0.0))
     return joined.select("mezcla_id", "source", "peso", "maximo", has.alias("disponible"), target.alias("objetivo"), rate.alias("tasa"))

@@ -10,6 +10,7 @@ from ..runtime import discard, stored
 
 PER_SHARD = 10_000
 FULL = 0.97
+MOST_KINDS = 1000
 
 
 class Bins:
@@ -87,9 +88,11 @@ def pack(counts: DataFrame, containers: DataFrame, per_shard: int = PER_SHARD, f
     spark = counts.sparkSession
     kinds = containers.where("capacidad_tokens > 0 and contenedor is not null").groupBy("contenedor").agg(F.max("capacidad_tokens").cast("long").alias("capacity"))
     counts, _ = stored(counts.where("n_tokens > 0"))
-    each = counts.crossJoin(F.broadcast(kinds.limit(1000))) if kinds.count() <= 1000 else None
-    if each is None:
-        raise ValueError("more than 1,000 kinds of containers")
+    kind_rows = kinds.limit(MOST_KINDS + 1).collect()
+    if len(kind_rows) > MOST_KINDS:
+        raise ValueError(f"more than {MOST_KINDS} kinds of containers")
+    every = F.array(*[F.struct(F.lit(r["contenedor"]).alias("contenedor"), F.lit(r["capacity"]).cast("long").alias("capacity")) for r in kind_rows])
+    each = counts.withColumn("kind", F.explode(every.cast("array<struct<contenedor:string,capacity:bigint>>"))).select("*", "kind.*").drop("kind")
     whole = F.floor(F.col("n_tokens") / F.col("capacity")).cast("long")
     each = each.withColumn("whole", whole).withColumn("rest", F.col("n_tokens") % F.col("capacity"))
     solid = each.where("whole > 0").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole") - 1))).select(
