@@ -88,3 +88,21 @@ def test_records_without_keys(spark):
     assert set(got) == {("d:1", "v:1"), ("d:1", "n:1"), ("n:1", "v:1"), ("d:3", "v:2")}
     assert 0 < got["d:3", "v:2"] < got["d:1", "v:1"] <= 1
     assert K.link(df.limit(0)).count() == 0
+
+
+def test_common_names_keep_their_candidates(spark, monkeypatch):
+    cols = ["clave", "tabla", "nombre", "nacimiento", "lugar", "secuestro", "lugar_secuestro", "ocupacion", "nota", "anio", "mes", "dia"]
+    row = lambda key, name, born: (key, key[0], name, born, *[None] * 8)
+    rows = [row(f"d:{i}", "Zorbalente Quimeral, Juan", f"{1850 + i % 80}-{1 + i % 12:02}") for i in range(K.COMMON + 50)]
+    rows += [row("d:x", "Zorbalente Quimeral, Juan", "1950-03"), row("v:1", "Juan Carlos Zorbalente Quimeral", "1950-03")]
+    schema = ", ".join(f"{c} {'int' if c in ('anio', 'dia') else 'string'}" for c in cols)
+    assert [tuple(r)[:2] for r in K.link(spark.createDataFrame(rows, schema)).collect()] == [("d:x", "v:1")]
+
+    few = [row(f"{t}:{i}", f"{g} Zorbalente {f}", None) for t in "vdn" for i, (g, f) in enumerate(itertools.product(("Juan", "Juan Carlos", "Ana"), ("Quimeral", "Mortelagui", "")))]
+    people, _ = K.stored(K.described(spark.createDataFrame(few, schema)))
+    edges = lambda: {(r.a, r.b): round(r.weight, 9) for r in K.candidate_edges(people).collect()}
+    whole = edges()
+    monkeypatch.setattr(K, "COMMON", 2)
+    assert edges() == whole
+    held = {r.clave: K.keys(K._loaded(r.datos)) for r in people.collect()}
+    assert set(whole) == {(a, b) for a in held for b in held if a[0] < b[0] and held[a] & held[b]}

@@ -25,7 +25,7 @@ ACCEPT = 4.0
 SURE = 10.0
 RIVAL = 1.5
 MOST_ROUNDS = 8
-#: A key that more records of one table share cannot by itself decide a pair (see candidate_edges).
+#: A key that more records share is worked as pairs of sub-blocks of so many (see candidate_edges).
 COMMON = 200
 
 _PLACE_WORDS = set(
@@ -141,10 +141,8 @@ def _loaded(text: str) -> dict:
 def candidate_edges(people: DataFrame) -> DataFrame:
     """(a, b, weight), a < b of different tables: pairs that share attributes, weighted by how rare these are.
 
-    A key that more than COMMON records of a table share makes no candidates: a name shared by so many decides no pair,
-    since each end has rivals as good (see decided). A pair that anything else decides shares one of the keys that join
-    the name with a date, a place or the job, so that it is found all the same; and no key sends more than COMMON squared
-    pairs.
+    A key that more than COMMON records share is worked as pairs of sub-blocks of about COMMON, spread over tasks: all its
+    pairs are made, so that a pair of which a common name is all that is shared is still judged by its evidence.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -153,13 +151,16 @@ def candidate_edges(people: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["clave", "tabla", "key"])
 
     keyed, path = stored(people.mapInPandas(run, "clave string, tabla string, key string"))
-    per = keyed.groupBy("key", "tabla").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.count("*").alias("tables"))
+    per = keyed.groupBy("key", "tabla").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("tables"))
     total = people.count()
-    useful, _ = stored(per.where((F.col("tables") > 1) & (F.col("most") <= COMMON)).select("key", F.log(F.lit(float(total + 1)) / F.col("n")).alias("rarity")))
-    rows = lookup(keyed, useful, "key", how="inner")
-    left = rows.select("key", "rarity", F.col("clave").alias("a"), F.col("tabla").alias("ta"))
-    right = rows.select("key", F.col("clave").alias("b"), F.col("tabla").alias("tb"))
-    return left.join(right, "key").where("ta < tb").groupBy("a", "b", "ta", "tb").agg(F.sum("rarity").alias("weight"))
+    parts = F.ceil(F.col("n") / COMMON).cast("int").alias("parts")
+    useful, _ = stored(per.where("tables > 1").select("key", parts, F.log(F.lit(float(total + 1)) / F.col("n")).alias("rarity")))
+    own = F.pmod(F.xxhash64("clave"), F.col("parts")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    rows = lookup(keyed, useful, "key", how="inner").withColumn("own", own).withColumn("other", every)
+    left = rows.select("key", F.col("own").alias("x"), F.col("other").alias("y"), "rarity", F.col("clave").alias("a"), F.col("tabla").alias("ta"))
+    right = rows.select("key", F.col("other").alias("x"), F.col("own").alias("y"), F.col("clave").alias("b"), F.col("tabla").alias("tb"))
+    return left.join(right, ["key", "x", "y"]).where("ta < tb").groupBy("a", "b", "ta", "tb").agg(F.sum("rarity").alias("weight"))
 
 
 def pruned(edges: DataFrame) -> DataFrame:
