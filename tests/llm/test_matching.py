@@ -106,3 +106,13 @@ def test_common_names_keep_their_candidates(spark, monkeypatch):
     assert edges() == whole
     held = {r.clave: K.keys(K._loaded(r.datos)) for r in people.collect()}
     assert set(whole) == {(a, b) for a in held for b in held if a[0] < b[0] and held[a] & held[b]}
+
+
+def test_names_join_until_none_moves(spark):
+    from tramaspark.llm.variants import clusters
+
+    together = ["manuel nicolas|zorbalente quimeral", "manuel nicolas|zorbalente", "manuel|zorbalente quimeral"]
+    apart = ["juan alberto|mortelagui", "juan antonio|mortelagui", "juan|mortelagui"]
+    got = {r.form: r.group_key for r in clusters(spark.createDataFrame([(f,) for f in together + apart], "form string")).collect()}
+    assert len({got[f] for f in together}) == 1 and len({got[f] for f in apart}) == 3
+    assert len(got) == 6

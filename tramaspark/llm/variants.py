@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.persons import Name, block_keys, compare, from_form, parse
-from ..runtime import lookup, stored
+from ..runtime import discard, lookup, stored
 from .groups import components
 
 BLOCK = 1500
-#: What a name says, from most to least (see Name.known); each level is linked to those above it.
-LEVELS = ((7, 7), (6, 6), (5, 5), (2, 4))
+#: Names that say more (see Name.known) join no other.
+FULLEST = 7
 
 
 def forms(records: DataFrame) -> DataFrame:
@@ -106,9 +106,11 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 def clusters(names: DataFrame) -> DataFrame:
     """(form, group_key): forms that name one person.
 
-    Forms of which every word has its counterpart are connected first. Then, level by level from the fullest names to
-    the barest, a component joins the fuller ones that its forms can be, if these are one and the same (of two equally
-    full ones, the one of the greater form joins the other); where a short name fits several persons it stays by itself.
+    Forms of which every word has its counterpart are connected first. Then a component joins the fuller one that its
+    forms can be, if these are one and the same (of two equally full ones, the one of the greater form joins the other),
+    until none moves: fuller ones that were several persons may have become one. Where a short name fits several persons
+    to the end it stays by itself. The order does not matter: a component that has joined brings no further edges along,
+    and joining others never makes one fuller component into two.
     """
     names, _ = stored(names.select("form").distinct())
     pairs, _ = stored(name_pairs(names))
@@ -116,24 +118,23 @@ def clusters(names: DataFrame) -> DataFrame:
     label, _ = stored(names.join(whole.withColumnRenamed("record_key", "form"), "form", "left").select("form", F.coalesce("group_key", "form").alias("root")))
     partial = pairs.where(~F.col("whole"))
     up = F.col("known_a") < F.col("known_b")
-    weak, _ = stored(
-        partial.select(
-            F.when(up, F.col("form_a")).otherwise(F.col("form_b")).alias("less"), F.when(up, F.col("form_b")).otherwise(F.col("form_a")).alias("more"),
-            F.least("known_a", "known_b").alias("known"),
-        )
+    weak = partial.where(F.least("known_a", "known_b") <= FULLEST).select(
+        F.when(up, F.col("form_a")).otherwise(F.col("form_b")).alias("less"), F.when(up, F.col("form_b")).otherwise(F.col("form_a")).alias("more")
     )
-    if not weak.take(1):
-        return label.withColumnRenamed("root", "group_key")
-    for low, high in LEVELS:
-        here = weak.where(F.col("known").between(low, high))
-        own = label.select(F.col("form").alias("less"), F.col("root").alias("own"))
-        above = label.select(F.col("form").alias("more"), F.col("root").alias("up"))
-        edge = lookup(lookup(here, own, "less"), above, "more").where("own != up")
+    own = label.select(F.col("form").alias("less"), F.col("root").alias("own"))
+    above = label.select(F.col("form").alias("more"), F.col("root").alias("up"))
+    edge, path = stored(lookup(lookup(weak, own, "less"), above, "more").where("own != up").select("own", "up").distinct())
+    while True:
         parent = edge.groupBy("own").agg(F.min("up").alias("up"), F.max("up").alias("__last")).where(F.col("up") == F.col("__last")).select("own", "up")
-        # a component that follows another itself is followed in a later round only
-        parent = parent.join(parent.select(F.col("own").alias("up"), F.lit(True).alias("__moves")), "up", "left").where("__moves is null").select("own", "up")
-        moved = lookup(label.withColumnRenamed("root", "own"), parent, "own")
-        label, _ = stored(moved.select("form", F.coalesce("up", "own").alias("root")))
+        if not parent.take(1):
+            break
+        joined, joined_path = stored(components(parent, F.col("own"), F.col("up")))
+        to = lambda c: joined.select(F.col("record_key").alias(c), F.col("group_key").alias("__to"))  # noqa: E731, B023
+        follow = lambda df, c: lookup(df, to(c), c).withColumn(c, F.coalesce("__to", c)).drop("__to")  # noqa: E731, B023
+        label, _ = stored(follow(label, "root").select("form", "root"))
+        old = path
+        edge, path = stored(follow(follow(edge, "own"), "up").where("own != up").select("own", "up").distinct())
+        discard(edge.sparkSession, old, joined_path)
     return label.withColumnRenamed("root", "group_key")
 
 
