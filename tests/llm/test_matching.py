@@ -116,3 +116,11 @@ def test_names_join_until_none_moves(spark):
     got = {r.form: r.group_key for r in clusters(spark.createDataFrame([(f,) for f in together + apart], "form string")).collect()}
     assert len({got[f] for f in together}) == 1 and len({got[f] for f in apart}) == 3
     assert len(got) == 6
+
+
+def test_long_names_join_fuller_ones(spark):
+    from tramaspark.llm.variants import clusters
+
+    together = ["juan alberto raul|zorbalente quimeral", "juan alberto|zorbalente quimeral", "juan alberto raul|zorbalente"]
+    got = clusters(spark.createDataFrame([(f,) for f in together], "form string")).collect()
+    assert {r.form for r in got} == set(together) and len({r.group_key for r in got}) == 1

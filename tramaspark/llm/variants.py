@@ -13,8 +13,6 @@ from ..runtime import discard, lookup, stored
 from .groups import components
 
 BLOCK = 1500
-#: Names that say more (see Name.known) join no other.
-FULLEST = 7
 
 
 def forms(records: DataFrame) -> DataFrame:
@@ -118,7 +116,7 @@ def clusters(names: DataFrame) -> DataFrame:
     label, _ = stored(names.join(whole.withColumnRenamed("record_key", "form"), "form", "left").select("form", F.coalesce("group_key", "form").alias("root")))
     partial = pairs.where(~F.col("whole"))
     up = F.col("known_a") < F.col("known_b")
-    weak = partial.where(F.least("known_a", "known_b") <= FULLEST).select(
+    weak = partial.select(
         F.when(up, F.col("form_a")).otherwise(F.col("form_b")).alias("less"), F.when(up, F.col("form_b")).otherwise(F.col("form_a")).alias("more")
     )
     own = label.select(F.col("form").alias("less"), F.col("root").alias("own"))
