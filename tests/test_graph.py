@@ -48,6 +48,30 @@ def test_candidates(spark):
     assert {(r.placeholder_key, r.candidate_key) for r in fuzzy_candidates(kin, persons).collect()} == {("nombre:juan_peres_gomes", "r:2")}
 
 
+def test_fuzzy_candidates_share_any_word(spark, monkeypatch):
+    import itertools
+
+    from tramaspark.functions.similarity import name_score
+    from tramaspark.operators import reconcile as R
+
+    named = ["juan karlos peres", "ana perez", "ana carlos", "juan diaz", "juan gomez", "juan karlos peres diaz"]
+    named += [" ".join(w) for w in itertools.product(("juan", "jose", "luisa"), ("karlos", "alberto"), ("gomes", "peres", "mortelagui"))]
+    people = spark.createDataFrame([(f"r:{i}", n) for i, n in enumerate(named)], "persona_key string, nombre string")
+    typed = ["juan_carlos_perez", "luiza_alverto_gomez", "jose_alberto_mortelagi", "juan_dias", "nadie_mas", "luisa_alberto_mortelagui_de_peres"]
+    kin = spark.createDataFrame([(f"nombre:{t}", "x") for t in typed], "source_key string, target_key string")
+    found = lambda: {(r.slug, r.candidate_key, r.score) for r in fuzzy_candidates(kin, people).collect()}
+    want = set()
+    for t in typed:
+        x = set(t.split("_")) - {"de"}
+        slugs = {n.replace(" ", "_") for n in named if x & set(n.split()) and abs(len(x) - len(n.split())) <= 2}
+        best = sorted((-name_score(t, c), c) for c in slugs if name_score(t, c) >= R.FUZZY)[: R.MOST_SLUGS]
+        want |= {(t, f"r:{i}", round(-s, 3)) for s, c in best for i, n in enumerate(named) if n.replace(" ", "_") == c}
+    got = found()
+    assert ("juan_carlos_perez", "r:0", 1.0) in got and got == want
+    monkeypatch.setattr(R, "BLOCK", 2)
+    assert found() == want
+
+
 def test_place_merges_are_stars(spark):
     names = ["VILLA BALLESTER", "VILLA BALESTER", "VILLA BALLESTERR", "OTRA COSA", "SAN MARTIN NORTE", "SAN MARTIN SUR"]
     p = spark.createDataFrame([(f"k{i}", n, "s") for i, n in enumerate(names)] + [(None, "VILLA BALESTER", "s"), ("z", None, "s")], "lugar_key string, nombre string, scope string")

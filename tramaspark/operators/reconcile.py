@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions.similarity import name_similarity
 from ..functions.text import name_tokens, slug
+from ..runtime import cut, lookup
 
 FUZZY, MOST_SLUGS = 0.96, 3
+#: A word that more names hold is worked as pairs of sub-blocks of so many.
+BLOCK = 1500
 
 
 def placeholders(kin: DataFrame) -> DataFrame:
@@ -35,19 +38,25 @@ def exact_candidates(kin: DataFrame, persons: DataFrame) -> DataFrame:
 def fuzzy_candidates(kin: DataFrame, persons: DataFrame, least: float = FUZZY, most: int = MOST_SLUGS) -> DataFrame:
     """The same by similarity, for placeholders without an exact one: the best `most` slugs, all their persons.
 
-    Pairs must share a word that tells names apart. Candidates come from the rarest words of the placeholder only: a
-    score of `least` leaves room for few other words, so that a pair within it shares one of the rarer half; and the
-    number of words may differ by two.
+    Every pair that shares any word is a candidate, if the number of words differs by two at most and leaves room for a
+    score of `least`: of the two coefficients that a score is the mean of, one cannot exceed that of the fewer words all
+    found among the more. A pair is made by the first word it shares only.
     """
     named = persons.where("persona_key is not null and nombre is not null").select(F.col("persona_key").alias("candidate_key"), slug(F.col("nombre")).alias("cslug"))
     slugs = named.select("cslug").distinct().withColumn("ct", name_tokens(F.col("cslug")))
     exact = exact_candidates(kin, persons).select("placeholder_key").distinct()
     held = placeholders(kin).join(exact, "placeholder_key", "left_anti").withColumn("slug", F.substring("placeholder_key", len("nombre:") + 1, 10_000)).withColumn("pt", name_tokens(F.col("slug")))
-    frequency = slugs.select(F.explode("ct").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
-    words = held.select("placeholder_key", "slug", "pt", F.explode("pt").alias("word")).join(frequency, "word")
-    rare = words.withColumn("k", F.row_number().over(Window.partitionBy("placeholder_key").orderBy("df", "word"))).where(F.col("k") <= F.ceil((F.size("pt") + 1) / 2))
-    pairs = rare.join(slugs.select("cslug", "ct", F.explode("ct").alias("word")), "word").where(F.abs(F.size("ct") - F.size("pt")) <= 2)
-    scored = pairs.select("placeholder_key", "slug", "cslug").distinct().withColumn("score", name_similarity("slug", "cslug")).where(F.col("score") >= least)
+    few, many = F.least(F.size("ct"), F.size("pt")), F.greatest(F.size("ct"), F.size("pt"))
+    fits = (many - few <= 2) & (0.5 + few / (few + many) >= least - 1e-6)
+    ours, theirs = held.select("placeholder_key", "slug", "pt", F.explode("pt").alias("word")), slugs.select("cslug", "ct", F.explode("ct").alias("word"))
+    parts = lambda df, name: df.groupBy("word").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+    split = cut(parts(ours, "pn").join(parts(theirs, "cn"), "word"))
+    own = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = lookup(ours, split, "word", how="inner").select("word", "placeholder_key", "slug", "pt", own("placeholder_key", "pn").alias("x"), every("cn").alias("y"))
+    right = lookup(theirs, split, "word", how="inner").select("word", "cslug", "ct", every("pn").alias("x"), own("cslug", "cn").alias("y"))
+    pairs = left.join(right, ["word", "x", "y"]).where(fits & (F.element_at(F.array_intersect("pt", "ct"), 1) == F.col("word")))
+    scored = pairs.select("placeholder_key", "slug", "cslug").withColumn("score", name_similarity("slug", "cslug")).where(F.col("score") >= least)
     best = scored.withColumn("k", F.row_number().over(Window.partitionBy("placeholder_key").orderBy(F.desc("score"), "cslug"))).where(F.col("k") <= most)
     return best.join(named, "cslug").select(
         "placeholder_key", "candidate_key", F.lit("set_dice_typo_v1").alias("metodo"), F.bround("score", 3).alias("score"), "slug",
