@@ -72,6 +72,19 @@ def test_fuzzy_candidates_share_any_word(spark, monkeypatch):
     assert found() == want
 
 
+def test_quality_counts_fuzzy_candidates(spark, monkeypatch):
+    from tramaspark.plans import graph as G
+    from tramaspark.plans.reference import QUERIES
+
+    people = spark.createDataFrame([("r:1", "Juan Perez"), ("r:2", "Juan Karlos Peres"), ("r:3", "Ana Diaz"), ("r:4", "ana diaz")], "persona_key string, nombre string")
+    kin = spark.createDataFrame([(f"nombre:{n}", "x") for n in ("juan_perez", "juan_carlos_perez", "ana_diaz", "nadie_mas")], "source_key string, target_key string")
+    monkeypatch.setattr(G, "kinship", lambda s, d: kin)
+    monkeypatch.setattr(G, "people", lambda s, d: people)
+    # one exact at 1.0, one fuzzy at 1.0, two exact at 0.7
+    assert tuple(QUERIES["ref_a8_quality_with_fuzzy"](spark, "").first()) == (4, 3, 4, 0.85)
+    assert tuple(QUERIES["ref_a8_placeholder_quality"](spark, "").first()) == (4, 2, 3, 0.8)
+
+
 def test_place_merges_are_stars(spark):
     names = ["VILLA BALLESTER", "VILLA BALESTER", "VILLA BALLESTERR", "OTRA COSA", "SAN MARTIN NORTE", "SAN MARTIN SUR"]
     p = spark.createDataFrame([(f"k{i}", n, "s") for i, n in enumerate(names)] + [(None, "VILLA BALESTER", "s"), ("z", None, "s")], "lugar_key string, nombre string, scope string")
