@@ -6,7 +6,7 @@ import pytest
 from tramaspark.llm import canonical as C
 from tramaspark.llm import linkage as K
 from tramaspark.llm.variants import linked_pairs
-from tramaspark.functions import persons as P
+from tramaspark.llm import persons as P
 
 REF = [("g1", "Coronel Arabelén", "Partido Quiba", "Costa Brava del Este"), ("g2", "Arabelén", "Partido Toma", "Mesopía"), ("g3", "Villa Dorsal", "Partido Toma", "Mesopía"), ("g4", "Villa Dorsal", "Partido Quiba", "Puna Serena"), ("g5", "Torchequén", None, "Puna Serena")]
 

@@ -16,15 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import folded, mended, osa, unscanned
-from ..functions.partial_dates import date_evidence, month, partial_date
-from ..functions.persons import Name, code, compare, from_form, givens, parse
 from ..runtime import discard, lookup, stored
+from .partial_dates import date_evidence, month, partial_date
+from .persons import best_readings, code, from_form, givens, parse
 
 #: Scores in units of evidence: a pair is accepted from ACCEPT on; one below SURE must also have no rival as good.
 ACCEPT = 4.0
 SURE = 10.0
 RIVAL = 1.5
-MOST_ROUNDS = 8
 #: A key that more records share is worked as pairs of sub-blocks of so many (see candidate_edges).
 COMMON = 200
 
@@ -50,8 +49,8 @@ def _born(text: str | None) -> tuple[str | None, str | None]:
 
 def describe(table: str, r: dict) -> dict | None:
     """One record's attributes: form of the name, dates of birth (several, if it tells several), of abduction, places, job."""
-    name = parse(r.get("nombre"))
-    if name is None or not name.family:
+    form = parse(r.get("nombre"))
+    if form is None or not any(n.family and n.given for n in from_form(form)):
         return None
     births = [partial_date(r.get("nacimiento"))]
     place = r.get("lugar")
@@ -63,7 +62,7 @@ def describe(table: str, r: dict) -> dict | None:
             births.append(partial_date("-".join(str(x) for x in (r["anio"], month(r.get("mes")), r.get("dia") if month(r.get("mes")) else None) if x)))
     job = folded(r.get("ocupacion") or "").strip()
     return {
-        "form": name.form,
+        "form": form,
         "births": sorted({b for b in births if b}, key=str),
         "taken": partial_date(r.get("secuestro")),
         "place": place_word(place),
@@ -74,27 +73,30 @@ def describe(table: str, r: dict) -> dict | None:
 
 def keys(a: dict) -> set[str]:
     """The attributes that make records candidates, each a combination that few persons share."""
-    name: Name = from_form(a["form"])
-    first = code(name.family[0])
-    second = code(name.family[1]) if len(name.family) > 1 and len(name.family[1]) > 1 else None
-    given = sorted({n for g in name.given for n in (givens(g) or [g]) if len(n) > 1})
-    out = {f"f:{first}:{second}"} if second else set()
-    out |= {f"g:{first}:{g}" for g in given}
-    for y, m, d in [*a["births"]]:
-        if m and d:
-            out |= {f"b:{g}:{y}-{min(m, d)}-{max(m, d)}" for g in given} | {f"s:{c}:{y}-{min(m, d)}-{max(m, d)}" for c in (first, second) if c}
-    if a["taken"] and a["taken"][2]:
-        t = "-".join(map(str, a["taken"]))
-        out |= {f"t:{g}:{t}" for g in given} | {f"u:{c}:{t}" for c in (first, second) if c}
-    # a name that many share still makes candidates of those who share a place or a job as well
-    whole = f"{first}:{second}:{'+'.join(given)}"
-    return out | {f"{k}:{whole}:{a[k]}" for k in ("place", "taken_at", "job") if a[k]}
+    out: set[str] = set()
+    for name in from_form(a["form"]):
+        if not name.family:
+            continue
+        first = code(name.family[0])
+        second = code(name.family[1]) if len(name.family) > 1 and len(name.family[1]) > 1 else None
+        given = sorted({n for g in name.given for n in (givens(g) or [g]) if len(n) > 1})
+        out |= {f"f:{first}:{second}"} if second else set()
+        out |= {f"g:{first}:{g}" for g in given}
+        for y, m, d in a["births"]:
+            if m and d:
+                out |= {f"b:{g}:{y}-{min(m, d)}-{max(m, d)}" for g in given} | {f"s:{c}:{y}-{min(m, d)}-{max(m, d)}" for c in (first, second) if c}
+        if a["taken"] and a["taken"][2]:
+            t = "-".join(map(str, a["taken"]))
+            out |= {f"t:{g}:{t}" for g in given} | {f"u:{c}:{t}" for c in (first, second) if c}
+        # a name that many share still makes candidates of those who share a place or a job as well
+        whole = f"{first}:{second}:{'+'.join(given)}"
+        out |= {f"{k}:{whole}:{a[k]}" for k in ("place", "taken_at", "job") if a[k]}
+    return out
 
 
 def evidence(a: dict, b: dict) -> float:
     """What two records' attributes say for one person (positive) or two (negative)."""
-    x, y = from_form(a["form"]), from_form(b["form"])
-    score, _ = compare(x, y)
+    score, _, x, y = best_readings(from_form(a["form"]), from_form(b["form"]))
     if not score:
         return -10.0
     words = min(len(x.family), len(y.family)), min(len(x.given), len(y.given))
@@ -153,14 +155,18 @@ def candidate_edges(people: DataFrame) -> DataFrame:
     keyed, path = stored(people.mapInPandas(run, "clave string, tabla string, key string"))
     per = keyed.groupBy("key", "tabla").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("tables"))
     total = people.count()
+    n_keyed = keyed.count()
     parts = F.ceil(F.col("n") / COMMON).cast("int").alias("parts")
-    useful, _ = stored(per.where("tables > 1").select("key", parts, F.log(F.lit(float(total + 1)) / F.col("n")).alias("rarity")))
+    useful, useful_path = stored(per.where("tables > 1").select("key", parts, F.log(F.lit(float(total + 1)) / F.col("n")).alias("rarity")))
     own = F.pmod(F.xxhash64("clave"), F.col("parts")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    rows = lookup(keyed, useful, "key", how="inner").withColumn("own", own).withColumn("other", every)
+    rows = lookup(keyed, useful, "key", how="inner", rows=n_keyed).withColumn("own", own).withColumn("other", every)
     left = rows.select("key", F.col("own").alias("x"), F.col("other").alias("y"), "rarity", F.col("clave").alias("a"), F.col("tabla").alias("ta"))
     right = rows.select("key", F.col("other").alias("x"), F.col("own").alias("y"), F.col("clave").alias("b"), F.col("tabla").alias("tb"))
-    return left.join(right, ["key", "x", "y"]).where("ta < tb").groupBy("a", "b", "ta", "tb").agg(F.sum("rarity").alias("weight"))
+    pairs = left.join(right, ["key", "x", "y"]).where("ta < tb").groupBy("a", "b", "ta", "tb").agg(F.sum("rarity").alias("weight"))
+    out, _ = stored(pairs)
+    discard(people.sparkSession, path, useful_path)
+    return out
 
 
 def pruned(edges: DataFrame) -> DataFrame:
@@ -175,8 +181,9 @@ def pruned(edges: DataFrame) -> DataFrame:
 def scored(edges: DataFrame, people: DataFrame) -> DataFrame:
     """Edges with their evidence."""
     data = people.select("clave", "datos")
-    with_a = lookup(edges, data.select(F.col("clave").alias("a"), F.col("datos").alias("da")), "a")
-    both = lookup(with_a, data.select(F.col("clave").alias("b"), F.col("datos").alias("db")), "b")
+    n = edges.count()
+    with_a = lookup(edges, data.select(F.col("clave").alias("a"), F.col("datos").alias("da")), "a", rows=n)
+    both = lookup(with_a, data.select(F.col("clave").alias("b"), F.col("datos").alias("db")), "b", rows=n)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -189,11 +196,13 @@ def scored(edges: DataFrame, people: DataFrame) -> DataFrame:
 def propagated(edges: DataFrame) -> DataFrame:
     """Scores that no longer change: an edge gains from a third record that both its ends resemble.
 
-    The gain is a third of the weaker of the two other edges, at most 3, so that scores stay bounded; rounds end when no
-    score moves by 0.01. Only the edges of tables that form triangles are joined, and records have few edges after pruning.
+    The gain is a third of the weaker of the two other edges, at most 3, so that scores stay bounded. Rounds end when no
+    score moves by 0.01; they always do, for a round moves a score by at most a third of what the round before moved any
+    (3, 1, 1/3, ...: seven rounds at most). Only the edges of tables that form triangles are joined, and records have few
+    edges after pruning.
     """
     now, path = stored(edges.withColumn("score", F.col("base")))
-    for _ in range(MOST_ROUNDS):
+    while True:
         side = now.select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("ta").alias("tx"), F.col("tb").alias("ty"), "score")
         both = side.unionByName(now.select(F.col("b").alias("x"), F.col("a").alias("y"), F.col("tb").alias("tx"), F.col("ta").alias("ty"), "score"))
         first = both.select(F.col("x").alias("a"), F.col("y").alias("m"), F.col("ty").alias("tm"), F.col("score").alias("s1"))
@@ -246,5 +255,5 @@ def link(records: DataFrame) -> DataFrame:
     attributes say nothing either way.
     """
     people, _ = stored(described(records))
-    edges, _ = stored(pruned(stored(candidate_edges(people))[0]))
+    edges, _ = stored(pruned(candidate_edges(people)))
     return decided(propagated(scored(edges, people)))

@@ -14,7 +14,7 @@ from .linkage import link
 from .mixing import mix, mix_report
 from .packing import fill_report, pack
 from .tokens import token_counts
-from .variants import linked_pairs
+from .variants import linked_pairs, members
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -105,6 +105,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return linked_pairs(named_records(spark, d))
 
 
+def p4_grupos(spark: SparkSession, d: str) -> DataFrame:
+    """Every record with a readable name and its group: one row per record, whatever the groups' sizes."""
+    return members(named_records(spark, d))
+
+
 def person_records(spark: SparkSession, d: str) -> DataFrame:
     """Every victimas, detalles and nietxs record in one shape, of the newest row of each."""
     v = latest(table(spark, d, "victimas"), "victima_id", "capturado_en", ["nombre", "datos_personales"])

@@ -12,6 +12,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": queries.p2_found,
     "p2_tamanos": queries.p2_tamanos,
     "p4_found": queries.p4_found,
+    "p4_grupos": queries.p4_grupos,
     "p5_found": queries.p5_found,
     "p5_cobertura": queries.p5_cobertura,
     "p6_found": queries.p6_found,

@@ -2,48 +2,58 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import combinations, product
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.persons import Name, block_keys, compare, from_form, parse
 from ..runtime import discard, lookup, stored
 from .groups import components
+from .persons import Form, block_keys, compare, from_form, known, parse
 
+#: A block of more forms, and a group of more records, is worked as pairs of sub-blocks of so many.
 BLOCK = 1500
 
 
 def forms(records: DataFrame) -> DataFrame:
-    """(clave, form) of records (clave, nombre): names parsed into given and family words; unreadable ones drop out."""
+    """(clave, form) of records (clave, nombre): names with their readings; unreadable ones drop out."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            got = [parse(x) for x in pdf["nombre"]]
-            yield pd.DataFrame({"clave": pdf["clave"], "form": [n.form if n else None for n in got]})
+            yield pd.DataFrame({"clave": pdf["clave"], "form": [parse(x) for x in pdf["nombre"]]})
 
     return records.mapInPandas(run, "clave string, form string").where("form is not null")
 
 
-def _pairs(rows: list[tuple[str, str, Name]], left: int, right: int) -> Iterator[tuple]:
-    """Accepted pairs of one block's rows (form, kind, name): of block `left` with `right`, or within if they are one."""
-    for i, (fa, ka, a) in enumerate(rows):
-        for fb, kb, b in rows[i + 1 :]:
-            if fa == fb or (ka == "d") != (kb == "d"):
-                continue
-            if ka == "d" and a.family[0] == b.family[0]:
-                continue  # found in the block of the whole code
-            score, whole = compare(a, b)
-            if score:
-                yield (fa, fb, whole, a.known, b.known, score)
+Row = tuple[str, str, Form]
+
+
+def _same_first(a: Form, b: Form) -> bool:
+    return len(a) == len(b) == 1 and a[0].family[:1] == b[0].family[:1]
+
+
+def _pairs(couples: Iterable[tuple[Row, Row]]) -> Iterator[tuple]:
+    """Accepted pairs of rows (form, kind, readings)."""
+    for (fa, kind, a), (fb, _, b) in couples:
+        if kind == "d" and _same_first(a, b):
+            continue  # found in the block of the whole code
+        score, whole = compare(a, b)
+        if score:
+            yield (fa, fb, whole, known(a), known(b), score)
+
+
+def couples(left: list[Row], right: list[Row] | None = None) -> Iterable[tuple[Row, Row]]:
+    """Every pair of one sub-block, or of one with another, once."""
+    return combinations(left, 2) if right is None else product(left, right)
 
 
 def name_pairs(names: DataFrame) -> DataFrame:
     """(form_a, form_b, whole, known_a, known_b, score) of all pairs of different forms that can name one person.
 
-    names: form, distinct. Blocks are keyed by the phonetic code of a family name (and its one-sound deletions) with a
-    given name's first letter. A block of more than BLOCK forms is worked as pairs of sub-blocks of BLOCK, spread over
+    names: form, distinct. Blocks are keyed by the phonetic code of one word (and its one-sound deletions) with the first
+    sound of another, whatever their order (persons.block_keys). A block of more than BLOCK forms is worked as pairs of sub-blocks of BLOCK, spread over
     tasks: all its pairs are compared, but only accepted ones leave a task.
     """
     key_type = "form string, key string, kind string"
@@ -53,10 +63,10 @@ def name_pairs(names: DataFrame) -> DataFrame:
             rows = [(f, k, kind) for f in pdf["form"] for k, kind in block_keys(from_form(f))]
             yield pd.DataFrame(rows, columns=["form", "key", "kind"])
 
-    keyed, _ = stored(names.mapInPandas(keys, key_type).distinct())
+    keyed, keyed_path = stored(names.mapInPandas(keys, key_type).distinct())
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    sized, _ = stored(sizes.withColumn("parts", F.ceil(F.col("n") / BLOCK).cast("int")))
-    rows = lookup(keyed, sized.select("key", "parts"), "key", how="inner")
+    sized, sized_path = stored(sizes.withColumn("parts", F.ceil(F.col("n") / BLOCK).cast("int")))
+    rows = lookup(keyed, sized.select("key", "parts"), "key", how="inner", rows=keyed.count())
     part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("form"), F.col("parts"))).otherwise(0).cast("int")
     spread = rows.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     spread = spread.withColumn("x", F.least("part", "other")).withColumn("y", F.greatest("part", "other"))
@@ -70,11 +80,8 @@ def name_pairs(names: DataFrame) -> DataFrame:
             if len(held) < 2:
                 return []
             x, y = map(int, cell.rsplit("/", 2)[1:])
-            parsed = [(f, k, from_form(f), p) for f, k, p in held]
-            if x == y:
-                return list(_pairs([r[:3] for r in parsed], 0, 0))
-            a, b = [r[:3] for r in parsed if r[3] == x], [r[:3] for r in parsed if r[3] == y]
-            return [p for one in a for p in _pairs([one, *b], 0, 1) if p[0] == one[0]]
+            part = lambda n: [(f, k, from_form(f)) for f, k, p in held if p == n]
+            return list(_pairs(couples(part(x)) if x == y else couples(part(x), part(y))))
 
         out: list[tuple] = []
         for pdf in batches:
@@ -91,10 +98,14 @@ def name_pairs(names: DataFrame) -> DataFrame:
     made = placed.mapInPandas(work, "form_a string, form_b string, whole boolean, known_a int, known_b int, score double")
     turn = F.col("form_a") > F.col("form_b")
     pick = lambda a, b: F.when(turn, F.col(b)).otherwise(F.col(a))
-    return made.select(
-        pick("form_a", "form_b").alias("form_a"), pick("form_b", "form_a").alias("form_b"), "whole",
-        pick("known_a", "known_b").alias("known_a"), pick("known_b", "known_a").alias("known_b"), "score",
-    ).dropDuplicates(["form_a", "form_b"])
+    out, _ = stored(
+        made.select(
+            pick("form_a", "form_b").alias("form_a"), pick("form_b", "form_a").alias("form_b"), "whole",
+            pick("known_a", "known_b").alias("known_a"), pick("known_b", "known_a").alias("known_b"), "score",
+        ).dropDuplicates(["form_a", "form_b"])
+    )
+    discard(names.sparkSession, keyed_path, sized_path)
+    return out
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
@@ -110,10 +121,10 @@ def clusters(names: DataFrame) -> DataFrame:
     to the end it stays by itself. The order does not matter: a component that has joined brings no further edges along,
     and joining others never makes one fuller component into two.
     """
-    names, _ = stored(names.select("form").distinct())
-    pairs, _ = stored(name_pairs(names))
+    names, names_path = stored(names.select("form").distinct())
+    pairs = name_pairs(names)
     whole = components(pairs.where("whole"), F.col("form_a"), F.col("form_b"))
-    label, _ = stored(names.join(whole.withColumnRenamed("record_key", "form"), "form", "left").select("form", F.coalesce("group_key", "form").alias("root")))
+    label, label_path = stored(names.join(whole.withColumnRenamed("record_key", "form"), "form", "left").select("form", F.coalesce("group_key", "form").alias("root")))
     partial = pairs.where(~F.col("whole"))
     up = F.col("known_a") < F.col("known_b")
     weak = partial.select(
@@ -121,32 +132,42 @@ def clusters(names: DataFrame) -> DataFrame:
     )
     own = label.select(F.col("form").alias("less"), F.col("root").alias("own"))
     above = label.select(F.col("form").alias("more"), F.col("root").alias("up"))
-    edge, path = stored(lookup(lookup(weak, own, "less"), above, "more").where("own != up").select("own", "up").distinct())
+    n = pairs.count()
+    edge, path = stored(lookup(lookup(weak, own, "less", rows=n), above, "more", rows=n).where("own != up").select("own", "up").distinct())
     while True:
         parent = edge.groupBy("own").agg(F.min("up").alias("up"), F.max("up").alias("__last")).where(F.col("up") == F.col("__last")).select("own", "up")
         if not parent.take(1):
             break
         joined, joined_path = stored(components(parent, F.col("own"), F.col("up")))
         to = lambda c: joined.select(F.col("record_key").alias(c), F.col("group_key").alias("__to"))  # noqa: E731, B023
-        follow = lambda df, c: lookup(df, to(c), c).withColumn(c, F.coalesce("__to", c)).drop("__to")  # noqa: E731, B023
-        label, _ = stored(follow(label, "root").select("form", "root"))
-        old = path
+        follow = lambda df, c: lookup(df, to(c), c, rows=df.count()).withColumn(c, F.coalesce("__to", c)).drop("__to")  # noqa: E731, B023
+        old, old_label = path, label_path
+        label, label_path = stored(follow(label, "root").select("form", "root"))
         edge, path = stored(follow(follow(edge, "own"), "up").where("own != up").select("own", "up").distinct())
-        discard(edge.sparkSession, old, joined_path)
+        discard(edge.sparkSession, old, old_label, joined_path)
+    discard(label.sparkSession, path, names_path)
     return label.withColumnRenamed("root", "group_key")
 
 
+def members(records: DataFrame) -> DataFrame:
+    """(clave, group_key) of records (clave unique, nombre) with a readable name: one row per record with its group."""
+    named, _ = stored(forms(records))
+    groups = clusters(named.select("form").distinct())
+    return lookup(named, groups, "form", rows=named.count()).select("clave", "group_key")
+
+
 def linked_pairs(records: DataFrame) -> DataFrame:
     """(clave_a, clave_b), clave_a < clave_b, of records (clave unique, nombre) that name one person.
 
-    Records without a readable name link to nothing; equal names link their records. Pairs of one group come from a join
-    on its key, spread over tasks by AQE where a group is large.
+    Records without a readable name link to nothing; equal names link their records. The pairs of a group of more than
+    BLOCK records are made as pairs of sub-blocks, spread over tasks.
     """
-    named, _ = stored(forms(records))
-    groups = clusters(named.select("form").distinct())
-    member, _ = stored(lookup(named, groups, "form").select("clave", "group_key"))
-    sizes = member.groupBy("group_key").count().where("count > 1").select("group_key")
-    several, _ = stored(lookup(member, sizes.withColumn("__k", F.lit(True)), "group_key", how="inner").drop("__k"))
-    a = several.select("group_key", F.col("clave").alias("clave_a"))
-    b = several.select("group_key", F.col("clave").alias("clave_b"))
-    return a.join(b, "group_key").where("clave_a < clave_b").select("clave_a", "clave_b")
+    member, _ = stored(members(records))
+    sizes = member.groupBy("group_key").count().where("count > 1")
+    parts, _ = stored(sizes.select("group_key", F.ceil(F.col("count") / BLOCK).cast("int").alias("parts")))
+    several = lookup(member, parts, "group_key", how="inner", rows=member.count())
+    own = F.pmod(F.xxhash64("clave"), F.col("parts")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    a = several.select("group_key", own.alias("x"), every.alias("y"), F.col("clave").alias("clave_a"))
+    b = several.select("group_key", every.alias("x"), own.alias("y"), F.col("clave").alias("clave_b"))
+    return a.join(b, ["group_key", "x", "y"]).where("clave_a < clave_b").select("clave_a", "clave_b")
