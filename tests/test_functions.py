@@ -1,4 +1,3 @@
-import datetime
 import difflib
 import unicodedata
 
@@ -7,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tramaspark.functions import dates, kin, names, partial_dates, persons, places, similarity, text
+from tramaspark.functions import dates, kin, names, places, similarity, text
 from tramaspark.operators.resolve import resolve_places
 
 
@@ -66,14 +65,6 @@ def test_similarities_are_bounded_and_symmetric(a, b):
     assert names.folded(names.folded(a)) == names.folded(a)
 
 
-@settings(max_examples=30, deadline=None)
-@given(st.dates(min_value=datetime.date(1900, 1, 1), max_value=datetime.date(1999, 12, 31)))
-def test_typed_dates_read_back(day):
-    for shape in ("%Y-%m-%d", "%d/%m/%Y", "%d-%m-%y"):
-        assert partial_dates.partial_date(day.strftime(shape)) == (day.year, day.month, day.day)
-    assert partial_dates.date_evidence((1976, 2, 3), (1976, 3, 2)) == 0.9
-
-
 def test_name_scores():
     assert similarity.name_score("juan perez", "juan peres") == 1.0
     assert similarity.name_score("barrio norte", "barrio sur") == 0.0
@@ -86,19 +77,3 @@ def test_strip_accents_against_unicode(spark):
     values = ["Ñandú ª º ü Ç ø ﬁ ½", "São João", "Ångström", None]
     got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v string").select(text.strip_accents(F.col("v"))).collect()]
     assert got == [v and "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c)) for v in values]
-
-
-@pytest.mark.parametrize(
-    "typed, given_words, family",
-    [
-        ("PÉREZ GÓMEZ, Juan C.", ("juan", "c"), ("perez", "gomez")), ("Sra. Ana Pérez Gómez de López", ("ana",), ("perez", "gomez")), ('José "Pepe" Díaz', ("jose",), ("diaz",)), ("Pepe Díaz", ("jose",), ("diaz",)),
-        ("G. Díaz", ("g",), ("diaz",)), ("Díaz Ríos Ana", ("ana",), ("diaz", "rios")), ("Ml. Díaz", ("manuel",), ("diaz",)), ("Anamaría Díaz", ("ana", "maria"), ("diaz",)),
-    ],
-)
-def test_names_are_parsed(typed, given_words, family):
-    got = persons.parse(typed)
-    assert (got.given, got.family) == (given_words, family)
-
-
-def test_unreadable_names():
-    assert [persons.parse(x) for x in (None, "", "-", "No hay informacion.", "N/N", "123")] == [None] * 6
