@@ -43,24 +43,40 @@ def unscanned(text: str) -> str:
 
 
 def osa(a: str, b: str, most: int) -> int:
-    """Edit distance with swaps of neighbours; more than `most` comes out as most + 1."""
+    """Edit distance with swaps of neighbours; more than `most` comes out as most + 1.
+
+    Only the cells within `most` of the diagonal are worked.
+    """
     if a == b:
         return 0
-    if abs(len(a) - len(b)) > most:
-        return most + 1
+    n, m, over = len(a), len(b), most + 1
+    if abs(n - m) > most:
+        return over
     before: list[int] = []
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        now = [i] + [0] * len(b)
-        for j, y in enumerate(b, 1):
-            d = min(row[j] + 1, now[j - 1] + 1, row[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, before[j - 2] + 1)
+    row = [j if j < over else over for j in range(m + 1)]
+    for i in range(1, n + 1):
+        x = a[i - 1]
+        first, last = max(1, i - most), min(m, i + most)
+        now = [over] * (m + 1)
+        if i < over:
+            now[0] = i
+        least = now[0]
+        for j in range(first, last + 1):
+            y = b[j - 1]
+            d = row[j - 1] if x == y else row[j - 1] + 1
+            if row[j] < d:
+                d = row[j] + 1 if row[j] + 1 < d else d
+            if now[j - 1] + 1 < d:
+                d = now[j - 1] + 1
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y and before[j - 2] + 1 < d:
+                d = before[j - 2] + 1
             now[j] = d
-        if min(now) > most:
-            return most + 1
+            if d < least:
+                least = d
+        if least > most:
+            return over
         before, row = row, now
-    return min(row[-1], most + 1)
+    return min(row[-1], over)
 
 
 def jaro_winkler(a: str, b: str) -> float:
