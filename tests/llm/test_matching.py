@@ -20,21 +20,59 @@ REF = [("g1", "Coronel Arabelén", "Partido Quiba", "Costa Brava del Este"), ("g
     ],
 )
 def test_places(typed, province, want):
-    index = C.Index(sorted(REF))
+    index = C.Index(sorted(REF), C.Weights.of([C.plain_name(r[1]) for r in REF]))
     known = {C.folded(r[3]): C.words(C.folded(r[3])) for r in REF}
     t = C.read(typed, province, known)
     assert C.decide(t, C.candidates(index, t))[0] == want
 
 
-def test_cosine_is_exact():
-    index = C.Index(sorted(REF))
+def invented(n, homonyms=0):
+    """A list of n entries of invented names in 24 provinces, the first `homonyms` of one name in as many departments."""
+    syllables = [a + b for a in "bcdfgjlmnprstvz" for b in "aeiou"]
+    name = lambda k: syllables[k % 75] + syllables[k * 7 % 74] + syllables[k * 13 % 73] + "rn"[k % 2] + "ao"[k // 2 % 2]
+    out = [(f"g{k:06}", "San Josebán", f"Departamento {name(k * 31 + 5).title()}", "Cuyania") for k in range(homonyms)]
+    return out + [(f"g{k:06}", ("Villa " if k % 5 == 0 else "") + name(k).title(), f"Departamento {name(k % 97)}", f"Provincia {k % 24}") for k in range(homonyms, n)]
+
+
+def test_cosine_is_exact_and_no_entry_is_missed():
+    ref = invented(300)
+    w = C.Weights.of([C.plain_name(r[1]) for r in ref])
+    index = C.Index(ref, w)
     every = sorted({g for n in index.names for g in C.grams(n)})
-    vec = lambda t: np.array([C.grams(t).get(g, 0) * index.idf[g] for g in every])
-    for a in index.names:
-        got = index.scores(a)
-        for i, b in enumerate(index.names):
-            x, y = vec(a), vec(b)
-            assert got[i] == pytest.approx(x @ y / np.sqrt((x @ x) * (y @ y)))
+    all_grams = [C.grams(n) for n in index.names]
+    rows = np.array([[g.get(k, 0) * w.idf[k] for k in every] for g in all_grams])
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    for k, a in list(enumerate(index.names))[::7]:
+        brute = dict(enumerate(rows @ rows[k]))
+        got = {i: s for i, s, _ in index.hits(a)}
+        assert set(got) == {i for i, s in brute.items() if s >= C.THRESHOLD}
+        assert all(got[i] == pytest.approx(brute[i]) for i in got)
+
+
+def found_in(ref, typed, block):
+    """Ids and scores of typed values with the list in blocks."""
+    w = C.Weights.of([C.plain_name(r[1]) for r in ref])
+    known = {p: C.words(p) for p in sorted({C.folded(r[3]) for r in ref})}
+    reads = [C.read(t, None, known) for t in typed]
+    got = [[] for _ in typed]
+    for k in range(0, len(ref), block):
+        index = C.Index(ref[k : k + block], w)
+        for out, t in zip(got, reads, strict=True):
+            out += C.candidates(index, t)
+    return [C.decide(t, g) for t, g in zip(reads, got, strict=True)]
+
+
+def test_results_do_not_depend_on_blocks():
+    ref = invented(10_000, homonyms=12)
+    typed = [r[1] for r in ref[:400:29]] + [f"V. {r[1].split()[-1]}, {r[3]}" for r in ref[20:400:35]] + ["San Joseban", "San Joseban, " + ref[11][2], "nada de esto"]
+    whole = found_in(ref, typed, len(ref))
+    assert whole == found_in(ref, typed, 3) == found_in(ref, typed, 1700)
+    assert whole[-2][0] == "g000011" and whole[-3][0] == whole[-1][0] == "NO_HALLADO"
+
+
+def test_homonyms_are_told_apart_by_department():
+    ref = invented(500, homonyms=12)
+    assert [i for i, _ in found_in(ref, [f"San Joseban, {r[2]}" for r in ref[:12]], 7)] == [r[0] for r in ref[:12]]
 
 
 def test_blocks_of_the_list_give_the_same(spark, monkeypatch):

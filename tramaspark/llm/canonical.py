@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -13,13 +14,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import folded, mended, osa, unscanned
-from ..runtime import lookup, stored
+from ..runtime import cores, discard, lookup, stored
 
 NOT_FOUND = "NO_HALLADO"
 THRESHOLD = 0.32
 MARGIN = 0.06
+#: Entries of the reference list that one index holds; results do not depend on it.
 REFERENCE_BLOCK = 20_000
-TOP = 8
+#: A usual first word begins at least this share of all names, and three: so there are at most 400.
+USUAL = 1 / 400
+VALUES_PER_TASK = 5_000
+#: Weight of the usual grams of a text whose postings need not be read.
+TAIL = 0.1
 
 #: How the first words of place names are shortened, and words that only introduce a name.
 SHORT = {
@@ -115,67 +121,137 @@ def grams(text: str) -> dict[str, int]:
     return out
 
 
-class Index:
-    """An inverted index over the names of one block of the reference list, weighted by inverse document frequency."""
+def _letters(text: str) -> int:
+    """The signs of a text as a set of bits, with others for a second and a third of each."""
+    out = 0
+    for c, n in Counter(text).items():
+        out |= (1 | (1 << 128 if n > 1 else 0) | (1 << 256 if n > 2 else 0)) << (ord(c) & 127)
+    return out
 
-    def __init__(self, rows: list[tuple[str, str, str, str]]) -> None:
-        self.rows = rows
-        self.names = [" ".join(words(folded(r[1] or ""))) for r in rows]
-        per = [grams(n) for n in self.names]
+
+def plain_name(text: str | None) -> str:
+    return " ".join(words(folded(text or "")))
+
+
+@dataclass(frozen=True)
+class Weights:
+    """What is counted over the whole list before it is cut into blocks: gram frequencies and usual first words.
+
+    Grams are of 2 and 3 of 37 signs, so there are at most 37 ** 2 + 37 ** 3 of them however long the list is.
+    """
+
+    entries: int
+    idf: dict[str, float]
+    firsts: tuple[str, ...]
+
+    @classmethod
+    def counted(cls, entries: int, df: dict[str, int], first: dict[str, int]) -> Weights:
+        least = max(3, math.ceil(USUAL * entries))
+        return cls(entries, {k: math.log(1 + entries / v) for k, v in df.items()}, tuple(sorted(w for w, k in first.items() if k >= least)))
+
+    @classmethod
+    def of(cls, names: list[str]) -> Weights:
+        df: dict[str, int] = {}
         first: dict[str, int] = {}
-        for name in self.names:
+        for name in names:
+            for g in grams(name):
+                df[g] = df.get(g, 0) + 1
             if " " in name:
                 first[name.split()[0]] = first.get(name.split()[0], 0) + 1
-        self.firsts = sorted(w for w, k in first.items() if k >= 3)
-        df: dict[str, int] = {}
-        for g in per:
-            for k in g:
-                df[k] = df.get(k, 0) + 1
-        self.default = math.log(1 + len(rows))
-        self.idf = {k: math.log(1 + len(rows) / v) for k, v in df.items()}
-        post: dict[str, tuple[list[int], list[float]]] = {}
-        for i, g in enumerate(per):
-            norm = math.sqrt(sum((v * self.idf[k]) ** 2 for k, v in g.items())) or 1.0
-            for k, v in g.items():
-                ids, ws = post.setdefault(k, ([], []))
-                ids.append(i)
-                ws.append(v * self.idf[k] / norm)
-        self.post = {k: (np.array(i), np.array(w)) for k, (i, w) in post.items()}
+        return cls.counted(len(names), df, first)
 
-    def scores(self, text: str) -> np.ndarray:
-        """Weighted cosine of a text with every name."""
-        g = grams(text)
-        weight = {k: v * self.idf.get(k, self.default) for k, v in g.items()}
+    def vector(self, text: str) -> dict[str, float]:
+        """The text's grams with their weights, of length 1."""
+        default = math.log(1 + self.entries)
+        weight = {k: v * self.idf.get(k, default) for k, v in grams(text).items()}
         norm = math.sqrt(sum(w * w for w in weight.values())) or 1.0
-        hits = [(self.post[k], w / norm) for k, w in weight.items() if k in self.post]
-        if not hits:
-            return np.zeros(len(self.rows))
-        ids = np.concatenate([h[0][0] for h in hits])
-        ws = np.concatenate([h[0][1] * h[1] for h in hits])
-        return np.bincount(ids, weights=ws, minlength=len(self.rows))
+        return {k: w / norm for k, w in weight.items()}
+
+
+class Index:
+    """An inverted index over the names of one block of the reference list."""
+
+    def __init__(self, rows: list[tuple[str, str, str, str]], weights: Weights) -> None:
+        self.rows = rows
+        self.weights = weights
+        self.names = [plain_name(r[1]) for r in rows]
+        self.provinces = [folded(r[3] or "") for r in rows]
+        self.departments = [words(folded(r[2] or ""))[1:] for r in rows]
+        self.letters = [_letters(n) for n in self.names]
+        self.vectors = [weights.vector(n) for n in self.names]
+        post: dict[str, tuple[list[int], list[float]]] = {}
+        for i, vector in enumerate(self.vectors):
+            for g, w in vector.items():
+                ids, ws = post.setdefault(g, ([], []))
+                ids.append(i)
+                ws.append(w)
+        self.post = {g: (np.array(i), np.array(w)) for g, (i, w) in post.items()}
+        self.held: dict[str, list[tuple[int, float, int]]] = {}
+
+    def hits(self, text: str) -> list[tuple[int, float, int]]:
+        """(entry, weighted cosine, edit distance) of every entry from THRESHOLD on.
+
+        Postings are read from the text's heaviest gram on, until what is left of the text weighs less than TAIL: the
+        usual grams with their long postings are mostly never read. Entries whose sum so far cannot reach THRESHOLD
+        with what is left fall out, and the others' sums are completed from their own grams.
+        """
+        if (found := self.held.get(text)) is not None:
+            return found
+        vector = self.weights.vector(text)
+        order = sorted(vector, key=lambda g: (-vector[g], g))
+        rest = np.sqrt(np.maximum(0.0, np.cumsum([vector[g] ** 2 for g in reversed(order)])))[::-1]  # from each gram on
+        read = next((k for k, r in enumerate(rest) if r < TAIL), len(order))
+        lists = [(self.post[g], vector[g]) for g in order[:read] if g in self.post]
+        out = []
+        if lists:
+            ids, at = np.unique(np.concatenate([p[0] for p, _ in lists]), return_inverse=True)
+            sums = np.bincount(at, weights=np.concatenate([p[1] * w for p, w in lists]))
+            left = float(rest[read]) if read < len(order) else 0.0
+            mask = _letters(text)
+            for k in np.nonzero(sums + left >= THRESHOLD - 1e-9)[0]:
+                i = int(ids[k])
+                own = self.vectors[i]
+                s = round(float(sums[k]) + sum(vector[g] * own[g] for g in order[read:] if g in own), 12)
+                if s >= THRESHOLD:
+                    most = allowed(self.names[i])
+                    # every slip brings in one such bit at most
+                    far = (mask & ~self.letters[i]).bit_count() > most or (self.letters[i] & ~mask).bit_count() > most
+                    out.append((i, s, most + 1 if far else osa(text, self.names[i], most)))
+        if len(self.held) < 200_000:
+            self.held[text] = out
+        return out
+
+
+def rank(c: tuple) -> tuple:
+    """The order of found entries: cosine less a tenth per slip, then slips; ties by part and id."""
+    return (c[5] - 0.1 * c[6], -c[6], -c[0], c[1])
 
 
 def candidates(index: Index, typed: Typed) -> list[tuple]:
-    """(part, georef id, name, province, department, score, distance, spelling) of the best few entries of every part.
+    """(part, georef id, name, province, department, score, distance, spelling): what decide() can need of this block.
 
-    Besides the best of all, the best of each province that is named come in, so that a block of the list never hides
-    an entry the province decides for.
+    These are, of every part, the best by score, and the two best by rank of the entries near enough, of those in a named
+    province, and of those in the named department as well. They are chosen after province and department were looked at,
+    and any block of a list passes on its own two, so that the decision is that of the whole list.
     """
-    out = []
+    out: dict[tuple[int, int], tuple] = {}
     for k, part in enumerate(typed.parts):
-        best: dict[int, tuple[float, str]] = {}
-        for text in spellings(part, index.firsts):
-            s = index.scores(text)
-            top = np.nonzero(s >= THRESHOLD)[0]
-            for i in top:
-                if s[i] > best.get(int(i), (0.0, ""))[0]:
-                    best[int(i)] = (float(s[i]), text)
-        ranked = sorted(best, key=lambda i: (-best[i][0], index.rows[i][0]))
-        mine = [i for i in ranked if folded(index.rows[i][3] or "") in typed.provinces]
-        for i in dict.fromkeys(ranked[:TOP] + mine[:TOP]):
-            r = index.rows[i]
-            out.append((k, r[0], index.names[i], folded(r[3] or ""), folded(r[2] or ""), best[i][0], osa(best[i][1], index.names[i], 4), best[i][1]))
-    return out
+        best: dict[int, tuple[float, int, str]] = {}
+        for text in spellings(part, index.weights.firsts):
+            for i, s, d in index.hits(text):
+                if i not in best or (s, -d, text) > (best[i][0], -best[i][1], best[i][2]):
+                    best[i] = (s, d, text)
+        rows = {i: (k, index.rows[i][0], index.names[i], index.provinces[i], " ".join(index.departments[i]), s, d, text) for i, (s, d, text) in best.items()}
+        if rows:
+            top = max(rows, key=lambda i: (rows[i][5], rows[i][1]))
+            out[k, top] = rows[top]
+        good = [i for i in rows if rows[i][6] <= allowed(rows[i][2])]
+        inside = [i for i in good if rows[i][3] in typed.provinces] if typed.provinces else good
+        said = [i for i in inside if fits(typed.department, index.departments[i])] if typed.department else []
+        for pool in (good, inside, said):
+            for i in sorted(pool, key=lambda i: rank(rows[i]), reverse=True)[:2]:
+                out[k, i] = rows[i]
+    return [out[key] for key in sorted(out)]
 
 
 def allowed(name: str) -> int:
@@ -192,12 +268,11 @@ def decide(typed: Typed, found: list[tuple]) -> tuple[str, float]:
     good = [c for c in found if c[5] >= THRESHOLD and c[6] <= allowed(c[2])]
     if typed.abroad or not good:
         return NOT_FOUND, max((c[5] for c in found), default=0.0)
-    rank = lambda c: (c[5] - 0.1 * c[6], -c[6])
     pool = [c for c in good if c[3] in typed.provinces] if typed.provinces else good
     if not pool:
         return NOT_FOUND, max(c[5] for c in good)
     if typed.department:
-        said = [c for c in pool if fits(typed.department, words(c[4])[1:])]
+        said = [c for c in pool if fits(typed.department, c[4].split())]
         pool = said or pool
     first = max(pool, key=rank)
     if any(k > first[0] for k in range(len(typed.parts))):
@@ -205,45 +280,76 @@ def decide(typed: Typed, found: list[tuple]) -> tuple[str, float]:
     others = [c for c in pool if c[1] != first[1] and c[0] == first[0]]
     second = max(others, key=rank, default=None)
     exact = first[6] == 0 and (second is None or second[6] > 0)
-    if second is not None and not exact and rank(first)[0] - rank(second)[0] < MARGIN:
+    if second is not None and not exact and rank(first)[0] - rank(second)[0] < MARGIN - 1e-9:
         return NOT_FOUND, first[5]
     return first[1], first[5]
 
 
+FOUND = "valor string, provincia string, part int, id string, name string, prov string, dept string, score double, distance int, text string"
+
+
+def weights_of(ref: DataFrame) -> Weights:
+    """The weights of the whole list, counted where its rows are; what comes to the driver is bounded (see Weights)."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows: dict[tuple[str, str], int] = {}
+            for text in pdf["localidad"]:
+                name = plain_name(text)
+                for g in grams(name):
+                    rows["g", g] = rows.get(("g", g), 0) + 1
+                if " " in name:
+                    rows["f", name.split()[0]] = rows.get(("f", name.split()[0]), 0) + 1
+            yield pd.DataFrame([(*k, n) for k, n in rows.items()], columns=["kind", "word", "n"])
+
+    counts, path = stored(ref.select("localidad").mapInPandas(count, "kind string, word string, n long").groupBy("kind", "word").agg(F.sum("n").alias("n")))
+    entries = ref.count()
+    df = {r.word: r.n for r in counts.where("kind = 'g'").toLocalIterator()}
+    usual = counts.where((F.col("kind") == "f") & (F.col("n") >= max(3, math.ceil(USUAL * entries))))
+    first = {r.word: r.n for r in usual.toLocalIterator()}
+    discard(ref.sparkSession, path)
+    return Weights.counted(entries, df, first)
+
+
 def map_to_reference(values: DataFrame, reference: DataFrame) -> DataFrame:
     """(valor, provincia, georef_id, puntaje) of every distinct pair in values (valor, provincia).
 
     reference: georef_id, localidad, departamento, provincia; rows without id or name are left out. Values are made
     distinct before anything is compared, so that a value on a third of all rows costs one comparison. The list is
-    indexed in blocks of at most REFERENCE_BLOCK entries, each shipped by itself: all blocks see all values, so that the
-    list may be of any length. null and blank values are to be left out by the caller; a value that names no entry, or
-    more than one, gets NO_HALLADO with the best score there was.
+    worked in blocks of about REFERENCE_BLOCK entries, one after the other: the driver holds and sends one block at a time,
+    workers index it, and all values pass by it; a value on several blocks is decided over what all of them found. null
+    and blank values are to be left out by the caller; a value that names no entry, or more than one, gets NO_HALLADO with
+    the best score there was.
     """
     spark = values.sparkSession
     ref = reference.where("georef_id is not null and localidad is not null").select("georef_id", "localidad", "departamento", "provincia").distinct()
+    ref, ref_path = stored(ref)
     n = ref.count()
     blocks = max(1, -(-n // REFERENCE_BLOCK))
     marked = ref.withColumn("b", F.pmod(F.xxhash64("georef_id"), F.lit(blocks)))
-    known = {folded(r[0]): words(folded(r[0])) for r in ref.select("provincia").where("provincia is not null").distinct().collect()}
-    pairs, _ = stored(values.select("valor", F.coalesce("provincia", F.lit("")).alias("provincia")).distinct().repartition(64))
-    kind = "valor string, provincia string, part int, id string, name string, prov string, dept string, score double, distance int, text string"
-    parts = []
+    weights = spark.sparkContext.broadcast(weights_of(ref))
+    known = {p: words(p) for p in sorted(folded(r[0]) for r in ref.select("provincia").where("provincia is not null").distinct().collect())}
+    distinct, distinct_path = stored(values.select("valor", F.coalesce("provincia", F.lit("")).alias("provincia")).distinct())
+    tasks = max(cores(spark), -(-distinct.count() // VALUES_PER_TASK))
+    # values that read alike come together, so that a worker scores their spelling once
+    pairs, pairs_path = stored(distinct.repartition(tasks, F.lower(F.substring(F.regexp_replace("valor", r"[^\p{L}]", ""), 1, 6))))
+    whole, paths = None, [distinct_path, pairs_path, ref_path]
     for b in range(blocks):
-        rows = [tuple(r)[:4] for r in marked.where(F.col("b") == b).collect()]
-        index = spark.sparkContext.broadcast(Index(sorted(rows)))
+        rows = spark.sparkContext.broadcast(sorted(tuple(r)[:4] for r in marked.where(F.col("b") == b).collect()))
 
-        def find(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
+        def find(batches: Iterator[pd.DataFrame], rows=rows) -> Iterator[pd.DataFrame]:
+            index = Index(rows.value, weights.value)
             for pdf in batches:
                 out = []
                 for value, province in zip(pdf["valor"], pdf["provincia"], strict=True):
-                    got = candidates(index.value, read(value, province, known))
+                    got = candidates(index, read(value, province, known))
                     out += [(value, province, *c) for c in got] or [(value, province, None, None, None, None, None, None, None, None)]
-                yield pd.DataFrame(out, columns=[c.split()[0] for c in kind.split(", ")])
+                yield pd.DataFrame(out, columns=[c.split()[0] for c in FOUND.split(", ")])
 
-        parts.append(pairs.mapInPandas(find, kind))
-    whole = parts[0]
-    for p in parts[1:]:
-        whole = whole.unionByName(p)
+        one, path = stored(pairs.mapInPandas(find, FOUND))
+        rows.destroy()
+        paths.append(path)
+        whole = one if whole is None else whole.unionByName(one)
     listed = whole.groupBy("valor", "provincia").agg(F.collect_list(F.struct("part", "id", "name", "prov", "dept", "score", "distance", "text")).alias("found"))
 
     def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -254,11 +360,13 @@ def map_to_reference(values: DataFrame, reference: DataFrame) -> DataFrame:
                 out.append((value, province, *decide(read(value, province, known), [r for r in rows if r[1] is not None])))
             yield pd.DataFrame(out, columns=["valor", "provincia", "georef_id", "puntaje"])
 
-    return listed.mapInPandas(settle, "valor string, provincia string, georef_id string, puntaje double")
+    out, _ = stored(listed.mapInPandas(settle, "valor string, provincia string, georef_id string, puntaje double"))
+    discard(spark, *paths)
+    return out
 
 
 def mapped(rows: DataFrame, reference: DataFrame) -> DataFrame:
     """rows (campo, clave, valor, provincia) with georef_id and puntaje; a value on any number of rows is no hot key."""
     key = F.concat_ws("\u0001", F.col("valor"), F.coalesce("provincia", F.lit(""))).alias("__k")
     found = map_to_reference(rows, reference).select(key, "georef_id", "puntaje")
-    return lookup(rows.select("*", key), found, "__k").drop("__k")
+    return lookup(rows.select("*", key), found, "__k", rows=rows.count()).drop("__k")
