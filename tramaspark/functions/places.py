@@ -56,13 +56,11 @@ PROVINCES = (
     ("SANTA FE", "SANTA FE"), ("TUCUMAN", "TUCUMAN"), ("CORDOBA", "CORDOBA"), ("MENDOZA", "MENDOZA"),
 )
 #: Countries with their codes, in the order in which endings are tried.
-COUNTRIES = tuple(
-    x.rsplit(" ", 1)
-    for x in (
-        "PARAGUAY PY;CHILE CL;ITALIA IT;BOLIVIA BO;ESPANA ES;BRASIL BR;URUGUAY UY;FRANCIA FR;MEXICO MX;COLOMBIA CO;VENEZUELA VE;ALEMANIA DE;BELGICA BE;AUSTRIA AT;"
-        "HONDURAS HN;PERU PE;ESTADOS UNIDOS US;CUBA CU;CHECOSLOVAQUIA CS;PORTUGAL PT;SUECIA SE;SUIZA CH;MARRUECOS MA;GRECIA GR;POLONIA PL;GUATEMALA GT;CROACIA HR;YUGOSLAVIA YU"
-    ).split(";")
-)
+COUNTRIES = (
+    ("PARAGUAY", "PY"), ("CHILE", "CL"), ("ITALIA", "IT"), ("BOLIVIA", "BO"), ("ESPANA", "ES"), ("BRASIL", "BR"), ("URUGUAY", "UY"), ("FRANCIA", "FR"), ("MEXICO", "MX"), ("COLOMBIA", "CO"),
+    ("VENEZUELA", "VE"), ("ALEMANIA", "DE"), ("BELGICA", "BE"), ("AUSTRIA", "AT"), ("HONDURAS", "HN"), ("PERU", "PE"), ("ESTADOS UNIDOS", "US"), ("CUBA", "CU"), ("CHECOSLOVAQUIA", "CS"),
+    ("PORTUGAL", "PT"), ("SUECIA", "SE"), ("SUIZA", "CH"), ("MARRUECOS", "MA"), ("GRECIA", "GR"), ("POLONIA", "PL"), ("GUATEMALA", "GT"), ("CROACIA", "HR"), ("YUGOSLAVIA", "YU"),
+)
 #: Phrases that name a city abroad (phrase, city, country).
 CITIES_ABROAD = (
     ("ASUNCION PARAGUAY", "ASUNCION", "PARAGUAY"), ("RIO DE JANEIRO BRASIL", "RIO DE JANEIRO", "BRASIL"), ("SANTIAGO DE CHILE", "SANTIAGO", "CHILE"),
@@ -90,11 +88,16 @@ def padded(c: Column) -> Column:
 
 def identity(c: Column) -> Column:
     """The core of a description in normal form: typing errors mended, narrative and tails cut."""
-    (first, to), *rest = IDENTITY
-    out = F.when(c.contains("FRANCIA"), c).otherwise(F.regexp_replace(c, first, to))
-    for pattern, to in rest:
-        out = F.regexp_replace(out, pattern, to)
-    return norm_space(out)
+
+    def rewritten(x: Column) -> Column:
+        (first, to), *rest = IDENTITY
+        out = F.when(x.contains("FRANCIA"), x).otherwise(F.regexp_replace(x, first, to))
+        for pattern, to in rest:
+            out = F.regexp_replace(out, pattern, to)
+        return norm_space(out)
+
+    # within an array's function, which is not compiled: thirty rewritings in a row make code that takes long to compile
+    return F.get(F.transform(F.array(c), rewritten), 0)
 
 
 def place_key(kind: Column | str, name: Column, parent: Column | None = None) -> Column:
@@ -164,45 +167,101 @@ def without_caba(c: Column) -> Column:
     return norm_space(F.regexp_replace(F.regexp_replace(out, r"\b(CIUDAD|CDAD)\b", " "), r"\b(DE|DEL|EN|LA|EL)\b", " "))
 
 
+def _lookup(table: dict[str, str], c: Column) -> Column:
+    """A small table as a literal map: one look-up instead of a chain of conditions."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), c)
+
+
+def exact_alias(c: Column) -> Column:
+    """STRUCT<city, province> of an exact alias, province null if it has none; else null."""
+    city = _lookup({a: city for a, city, _ in ALIASES}, c)
+    return F.when(city.isNotNull(), F.struct(city.alias("city"), _lookup({a: p for a, _, p in ALIASES if p}, c).alias("province")))
+
+
+def province_ending(c: Column) -> Column:
+    """STRUCT<city, province> of a text that ends in a province; else null."""
+    pattern = rf"^(.+) ({'|'.join(p for p, _ in PROVINCES)})$"
+    city = F.trim(F.regexp_extract(c, pattern, 1))
+    return F.when(city != "", F.struct(city.alias("city"), _lookup(dict(PROVINCES), F.regexp_extract(c, pattern, 2)).alias("province")))
+
+
 def abroad(c: Column) -> Column:
-    """STRUCT<city, country, code> of a place in another country (city null: the country itself), else null."""
+    """STRUCT<city, country, code> of a place in another country (city null: the country itself), else null.
+
+    The country alone counts first, then a known phrase, then a country at the end of a short text.
+    """
+    codes = dict(COUNTRIES)
     clean = norm_space(F.regexp_replace(F.regexp_replace(c, r"\bSDH\b", ""), r"\bNO\s+CONSTA\b", ""))
-    code = {name: code for name, code in COUNTRIES}
-    made = lambda city, country: F.struct(city.alias("city"), F.lit(country).alias("country"), F.lit(code[country]).alias("code"))
-    none = F.lit(None).cast("string")
-    out = F.when(c.rlike("CAPITAL FEDERAL|BS AS|BUENOS AIRES|CABA"), F.lit(None))
-    for name, _ in COUNTRIES:
-        out = out.when(c == name, made(none, name))
-    for phrase, city, country in CITIES_ABROAD:
-        out = out.when(clean == phrase, made(F.lit(city), country))
-    for name, _ in COUNTRIES:
-        head = F.trim(F.substring(clean, F.lit(1), F.length(clean) - len(name)))
-        out = out.when(clean.endswith(" " + name) & (F.size(tokens(clean)) <= 7) & (head != "") & (head != "DE"), made(head, name))
-    return out
+    pattern = rf"^(.+) ({'|'.join(codes)})$"
+    head = F.trim(F.regexp_extract(clean, pattern, 1))
+    behind = F.when((F.size(tokens(clean)) <= 7) & (head != "") & (head != "DE"), head)
+    alone = _lookup(codes, c).isNotNull()
+    known = _lookup({p: city for p, city, _ in CITIES_ABROAD}, clean)
+    country = F.when(alone, c).when(known.isNotNull(), _lookup({p: land for p, _, land in CITIES_ABROAD}, clean)).when(behind.isNotNull(), F.regexp_extract(clean, pattern, 2))
+    made = F.struct(F.when(~alone, F.coalesce(known, behind)).alias("city"), country.alias("country"), _lookup(codes, country).alias("code"))
+    return F.when(country.isNotNull() & ~c.rlike("CAPITAL FEDERAL|BS AS|BUENOS AIRES|CABA"), made)
+
+
+#: The expressions by which a street address is told from a story.
+ADDRESS_PREFIXES = (
+    r"^SECUESTRAD[OA]\s+",
+    r"^FUE\s+SECUESTRAD[OA]\s+",
+    r"^EN\s+LAS\s+CERCANIAS\s+DE\s+",
+    r"^EN\s+LA\s+VIA\s+PUBLICA\s+",
+    r"^DE\s+SU\s+",
+    r"^SU\s+",
+    r"^LUGAR\s+DE\s+TRABAJO\s+",
+)
+ADDRESS_REFUSED = (
+    r"^(COMISARIA|SUBCOMISARIA|REGIMIENTO|UNIDAD PENAL|ALCAIDIA|DESTACAMENTO)\b",
+    r"^ASESINAD[OA]\s+\d{1,2}[\-/]\d{1,2}[\-/]\d{2,4}",
+    r"^SEC\s+EN\s+CAP\s+FED\s+EL\s+\d{1,2}[\-/]\d{1,2}[\-/]\d{2,4}",
+    r"^SEGUN\s+DENUNCIA",
+    r"^SE\s+DESCONOCE",
+    r"^SIN\s+DETERMINAR",
+    r"^NO\s+CONSTA",
+)
+ADDRESS_FRAGMENT = r"\b([A-Z]{3,}(?:\s+[A-Z]{2,}){0,5}\s+\d{1,5}(?:\s*(?:DTO|DEPTO|PISO|N)\s*[A-Z0-9\"']{1,6})?)\b"
+ADDRESS_GENERIC = ("SU DOMICILIO", "SU LUGAR DE TRABAJO", "SE DESCONOCE", "SIN DETERMINAR", "NO CONSTA", "VIA PUBLICA")
+ADDRESS_NUMBER = r"\b(\d{1,5})\b"
+ADDRESS_CORNER = r"\b[A-Z]{2,}\s+Y\s+[A-Z]{2,}\b"
+ADDRESS_STREET = r"^(AV(?:ENIDA)?|CALLE|PJE|PASAJE|RUTA|DIAGONAL|BLVD|BOULEVARD)\s+(.+)$"
+ADDRESS_ASIDE = (r"\([^)]*\)", r"[^A-Z0-9\s,\-\./]")
+#: Confidence with street word and number, with a number only, and with a corner.
+ADDRESS_TRUST = (0.95, 0.85, 0.65)
+
+
+def address_text(raw: Column) -> Column:
+    """The part of a description that may be an address: null where it tells a story or names an institution."""
+    out = strip_accents(F.upper(clean_text(raw)))
+    for pattern in ADDRESS_ASIDE:
+        out = F.regexp_replace(out, pattern, " ")
+    out = norm_space(out)
+    for pattern in ADDRESS_PREFIXES:
+        out = F.regexp_replace(out, pattern, "")
+    return F.when(~out.rlike("|".join(ADDRESS_REFUSED)), norm_space(out))
+
+
+def address_chunk(text: Column) -> Column:
+    """The first piece between separators with a number or a street corner; of a long text only its street and number."""
+    fragment = norm_space(F.regexp_extract(text, ADDRESS_FRAGMENT, 1))
+    pieces = F.split(F.when((F.length(text) > 35) & (fragment != ""), fragment).otherwise(text), "[,;-]")
+    numbered = lambda x: x.rlike(ADDRESS_NUMBER)
+    corner = lambda x: x.rlike(ADDRESS_CORNER) & (F.size(tokens(x)) <= 8)
+    good = F.filter(F.transform(pieces, lambda x: norm_space(x)), lambda x: (numbered(x) | corner(x)) & ~x.isin(*ADDRESS_GENERIC))
+    return F.when(F.length(F.get(good, 0)) >= 5, F.get(good, 0))
 
 
 def street_address(raw: Column) -> Column:
     """STRUCT<direccion_raw, direccion_norm, via, numero, confianza> of the street address in a description, else null."""
-    text = clean_text(raw)
-    up = norm_space(F.regexp_replace(F.regexp_replace(strip_accents(F.upper(text)), r"\([^)]*\)", " "), r"[^A-Z0-9\s,\-\./]", " "))
-    for prefix in (r"SECUESTRAD[OA]", r"FUE\s+SECUESTRAD[OA]", r"EN\s+LAS\s+CERCANIAS\s+DE", r"EN\s+LA\s+VIA\s+PUBLICA", r"DE\s+SU", "SU", r"LUGAR\s+DE\s+TRABAJO"):
-        up = F.regexp_replace(up, rf"^{prefix}\s+", "")
-    return F.get(F.transform(F.array(F.struct(text.alias("t"), norm_space(up).alias("c"))), lambda x: _address(x["t"], x["c"])), 0)
-
-
-def _address(text: Column, whole: Column) -> Column:
-    told = rf"^({INSTITUTIONS})\b|^ASESINAD[OA]\s+\d{{1,2}}[\-/]\d{{1,2}}[\-/]\d{{2,4}}|^SEC\s+EN\s+CAP\s+FED\s+EL\s+\d{{1,2}}[\-/]\d{{1,2}}[\-/]\d{{2,4}}|^SEGUN\s+DENUNCIA|^SE\s+DESCONOCE|^SIN\s+DETERMINAR|^NO\s+CONSTA"
-    fragment = F.regexp_extract(whole, r"\b([A-Z]{3,}(?:\s+[A-Z]{2,}){0,5}\s+\d{1,5}(?:\s*(?:DTO|DEPTO|PISO|N)\s*[A-Z0-9\"']{1,6})?)\b", 1)
-    core = F.when((F.length(whole) > 35) & (fragment != ""), norm_space(fragment)).otherwise(whole)
-    generic = ["", "SU DOMICILIO", "SU LUGAR DE TRABAJO", "SE DESCONOCE", "SIN DETERMINAR", "NO CONSTA", "VIA PUBLICA"]
-    chunks = F.transform(F.split(core, "[,;-]"), lambda x: norm_space(x))
-    fits = F.filter(
-        chunks,
-        lambda x: ~x.isin(generic) & (x.rlike(r"\b\d{1,5}\b") | (x.rlike(r"\b[A-Z]{2,}\s+Y\s+[A-Z]{2,}\b") & (F.size(tokens(x)) <= 8))),
-    )
-    chosen = F.get(fits, 0)
-    via = F.nullif(F.regexp_extract(chosen, rf"^({STREETS})\s+(.+)$", 1), F.lit(""))
-    number = F.nullif(F.regexp_extract(chosen, r"\b(\d{1,5})\b", 1), F.lit(""))
-    trust = F.when(via.isNotNull() & number.isNotNull(), 0.95).when(number.isNotNull(), 0.85).otherwise(0.65)
-    made = F.struct(text.alias("direccion_raw"), chosen.alias("direccion_norm"), via.alias("via"), number.alias("numero"), trust.alias("confianza"))
-    return F.when(~whole.rlike(told) & (F.length(chosen) >= 5), made)
+    chunk = address_chunk(address_text(raw))
+
+    def made(x: Column) -> Column:
+        via = F.nullif(F.regexp_extract(x, ADDRESS_STREET, 1), F.lit(""))
+        number = F.nullif(F.regexp_extract(x, ADDRESS_NUMBER, 1), F.lit(""))
+        both, one, neither = ADDRESS_TRUST
+        trust = F.when(number.isNull(), neither).when(via.isNull(), one).otherwise(both)
+        return F.struct(clean_text(raw).alias("direccion_raw"), x.alias("direccion_norm"), via.alias("via"), number.alias("numero"), trust.alias("confianza"))
+
+    # through an array of one, so that the piece is worked out once however often it is named
+    return F.get(F.transform(F.filter(F.array(chunk), lambda x: x.isNotNull()), made), 0)

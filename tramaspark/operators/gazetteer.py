@@ -13,9 +13,9 @@ MIN_SCORE, AMBIGUITY = 0.76, 0.02
 LONGEST = 6
 #: Provinces from the most to the least populous (a weak tie-break), and words before a street's name.
 PRIORITY = (
-    "BUENOS AIRES;CORDOBA;SANTA FE;CIUDAD AUTONOMA DE BUENOS AIRES;MENDOZA;TUCUMAN;ENTRE RIOS;SALTA;MISIONES;CHACO;CORRIENTES;SANTIAGO DEL ESTERO;"
-    "SAN JUAN;JUJUY;RIO NEGRO;NEUQUEN;FORMOSA;CHUBUT;SAN LUIS;CATAMARCA;LA RIOJA;LA PAMPA;SANTA CRUZ;TIERRA DEL FUEGO"
-).split(";")
+    "BUENOS AIRES", "CORDOBA", "SANTA FE", "CIUDAD AUTONOMA DE BUENOS AIRES", "MENDOZA", "TUCUMAN", "ENTRE RIOS", "SALTA", "MISIONES", "CHACO", "CORRIENTES", "SANTIAGO DEL ESTERO",
+    "SAN JUAN", "JUJUY", "RIO NEGRO", "NEUQUEN", "FORMOSA", "CHUBUT", "SAN LUIS", "CATAMARCA", "LA RIOJA", "LA PAMPA", "SANTA CRUZ", "TIERRA DEL FUEGO",
+)
 STREET_WORDS = "CALLE AV AVENIDA RUTA PASAJE PJE NRO NUMERO".split()
 #: Score of a match by level: base, most that its length adds, bonus if its province is named.
 SCORES = {"LOCALIDAD": (0.80, 0.15, 0.06), "MUNICIPIO": (0.76, 0.12, 0.06), "DEPARTAMENTO": (0.71, 0.12, 0.05), "PROVINCIA": (0.75, 0.10, None)}

@@ -10,13 +10,14 @@ from ..functions.text import clean_text, place_text
 from ..runtime import lookup, stored
 from .gazetteer import AMBIGUITY, MIN_SCORE, resolve_context, resolve_names
 
-PLACE = "struct<tipo:string,nombre:string,lugar_key:string,parent_key:string,hierarchy_keys:array<string>,pais_code:string>"
+PLACE = "struct<tipo:string,nombre:string,parent_key:string,hierarchy_keys:array<string>,pais_code:string>"
 
 
-def _place(kind: Column | str, name: Column, key: Column, parent: Column, chain: Column | None = None, code: Column | None = None) -> Column:
+def _place(kind: Column | str, name: Column, parent: Column, chain: Column | None = None, code: Column | None = None) -> Column:
+    """What a text means; the place's own key follows from kind, name and parent and is made once, in the end."""
     kind = F.lit(kind) if isinstance(kind, str) else kind
     return F.struct(
-        kind.alias("tipo"), name.alias("nombre"), key.alias("lugar_key"), parent.alias("parent_key"),
+        kind.alias("tipo"), name.alias("nombre"), parent.alias("parent_key"),
         (F.lit(None) if chain is None else chain).cast("array<string>").alias("hierarchy_keys"), (F.lit(None).cast("string") if code is None else code).alias("pais_code"),
     ).cast(PLACE)
 
@@ -35,7 +36,7 @@ def _with_place(hits: DataFrame) -> DataFrame:
     out = out.withColumn("kind", kind).withColumn("parent", parent).withColumn("key", P.place_key(c("kind"), c("name"), c("parent")))
     above = F.when(c("kind") == "PROVINCIA", F.array().cast("array<string>")).when((c("kind") == "CIUDAD") & c("dk").isNotNull(), F.array("dk", "pk")).otherwise(F.array("pk"))
     chain = F.concat(F.array("key"), above, F.array(F.lit(P.COUNTRY)))
-    return out.select("alias", _place(c("kind"), c("name"), c("key"), c("parent"), chain).alias("place"))
+    return out.select("alias", _place(c("kind"), c("name"), c("parent"), chain).alias("place"))
 
 
 def _segmented(aliases: DataFrame, gazetteer: DataFrame) -> DataFrame:
@@ -77,12 +78,10 @@ def resolve_places(raw: DataFrame, gazetteer: DataFrame | None, min_score: float
     texts = texts.where(~F.col("alias").isin("SU", "DE SU", "DE LA") & ~P.only_address(F.col("alias")))
     texts, _ = stored(texts)
     a = F.col("alias")
-    none = F.lit(None).cast(PLACE)
     null = F.lit(None).cast("string")
     hinted = P.caba_hinted(a)
     aliases = texts.select("alias").distinct()
-    caba = P.place_key("CIUDAD", F.lit(P.CABA))
-    named_caba = F.when(P.caba_named(a), _place("CIUDAD", F.lit(P.CABA), caba, null))
+    named_caba = F.when(P.caba_named(a), _place("CIUDAD", F.lit(P.CABA), null))
 
     if gazetteer is not None:
         quarter = P.without_caba(a)
@@ -100,27 +99,17 @@ def resolve_places(raw: DataFrame, gazetteer: DataFrame | None, min_score: float
     else:
         capital, steps = F.when(hinted, named_caba), []
 
-    exact = F.when(F.lit(False), none)
-    for alias, city, province in P.ALIASES:
-        parent = _province(F.lit(province)) if province else null
-        key = P.place_key("CIUDAD", F.lit(city), parent if province else None)
-        exact = exact.when(a == alias, _place("CIUDAD", F.lit(city), key, parent))
-    x = F.col("x")
-    country = P.place_key("PAIS", x["country"])
-    far = P.place_key("CIUDAD", x["city"], country)
-    away = F.when(x.isNotNull() & x["city"].isNull(), _place("PAIS", x["country"], country, null, F.array(country), x["code"])).when(
-        x.isNotNull(), _place("CIUDAD", x["city"], far, country, F.array(far, country), x["code"])
-    )
-    ending = F.when(F.lit(False), none)
-    for hint, province in P.PROVINCES:
-        city = F.trim(F.substring(a, F.lit(1), F.length(a) - len(hint)))
-        parent = _province(F.lit(province))
-        ending = ending.when(a.endswith(" " + hint) & (city != ""), _place("CIUDAD", city, P.place_key("CIUDAD", city, parent), parent))
-    home = _province(F.lit("BUENOS AIRES"))
-    default = F.when(P.may_be_buenos_aires(a), _place("CIUDAD", a, P.place_key("CIUDAD", a, home), home))
-    unknown = _place("INDETERMINADO", a, P.place_key("INDETERMINADO", a), null)
-
-    aliases = aliases.withColumn("x", P.abroad(a))
-    placed = aliases.select("alias", F.coalesce(exact, capital, away, *steps, named_caba, ending, default, unknown).alias("p"))
-    out = lookup(texts, placed, "alias")
-    return out.select("raw", F.col("text").alias("alias_raw"), F.col("alias").alias("alias_norm"), "p.*")
+    aliases = aliases.withColumn("x", P.abroad(a)).withColumn("e", P.exact_alias(a)).withColumn("p", P.province_ending(a))
+    exact = F.when(F.col("e").isNotNull(), _place("CIUDAD", F.col("e.city"), F.when(F.col("e.province").isNotNull(), _province(F.col("e.province")))))
+    alone = F.col("x.city").isNull()
+    country = F.when(~alone, P.place_key("PAIS", F.col("x.country")))
+    away = F.when(F.col("x").isNotNull(), _place(F.when(alone, "PAIS").otherwise("CIUDAD"), F.coalesce("x.city", "x.country"), country, None, F.col("x.code")))
+    ending = F.when(F.col("p").isNotNull(), _place("CIUDAD", F.col("p.city"), _province(F.col("p.province"))))
+    default = F.when(P.may_be_buenos_aires(a), _place("CIUDAD", a, _province(F.lit("BUENOS AIRES"))))
+    unknown = _place("INDETERMINADO", a, null)
+
+    placed = aliases.select("alias", F.coalesce(exact, capital, away, *steps, named_caba, ending, default, unknown).alias("p")).select("alias", "p.*")
+    keyed = placed.withColumn("lugar_key", P.place_key(F.col("tipo"), F.col("nombre"), F.col("parent_key")))
+    chain = F.when(F.col("pais_code").isNotNull(), F.array_compact(F.array("lugar_key", "parent_key")))
+    out = lookup(texts, keyed.withColumn("hierarchy_keys", F.coalesce("hierarchy_keys", chain)), "alias", rows=texts.count())
+    return out.select("raw", F.col("text").alias("alias_raw"), F.col("alias").alias("alias_norm"), "tipo", "nombre", "lugar_key", "parent_key", "hierarchy_keys", "pais_code")
