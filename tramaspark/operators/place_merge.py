@@ -12,8 +12,8 @@ from ..functions.similarity import merge_verdict
 from ..runtime import cut
 
 
-def slip_pairs(places: DataFrame) -> DataFrame:
-    """(a, b, score, reason), a < b, of places (lugar_key, nombre, scope) of one scope whose names differ by one slip.
+def slip_candidates(places: DataFrame) -> DataFrame:
+    """(lugar_key_a, nombre_a, lugar_key_b, nombre_b), keys in order, of places of one scope that differ in one word alone.
 
     Two such names agree in all words but one and have as many; so places are joined on (scope, the name without one
     word, its position) and two letters in a row of that word: words at least 0.8 alike always share two, since their
@@ -26,7 +26,12 @@ def slip_pairs(places: DataFrame) -> DataFrame:
     keyed = holes.select("lugar_key", "nombre", "scope", rest.alias("rest"), F.explode(pairs_of_letters).alias("edge"), F.size("w").alias("n"))
     a = keyed.select(*[F.col(c).alias(f"{c}_a") if c in ("lugar_key", "nombre") else F.col(c) for c in keyed.columns])
     b = keyed.select(*[F.col(c).alias(f"{c}_b") if c in ("lugar_key", "nombre") else F.col(c) for c in keyed.columns])
-    pairs = a.join(b, ["scope", "rest", "edge", "n"]).where("lugar_key_a < lugar_key_b").select("lugar_key_a", "nombre_a", "lugar_key_b", "nombre_b").distinct()
+    return a.join(b, ["scope", "rest", "edge", "n"]).where("lugar_key_a < lugar_key_b and nombre_a <> nombre_b").select("lugar_key_a", "nombre_a", "lugar_key_b", "nombre_b").distinct()
+
+
+def slip_pairs(places: DataFrame) -> DataFrame:
+    """(a, b, score, reason), a < b, of places (lugar_key, nombre, scope) of one scope whose names differ by one slip."""
+    pairs = slip_candidates(places)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -39,6 +39,11 @@ def _with_place(hits: DataFrame) -> DataFrame:
     return out.select("alias", _place(c("kind"), c("name"), c("parent"), chain).alias("place"))
 
 
+def from_gazetteer(aliases: DataFrame, gazetteer: DataFrame, min_score: float = MIN_SCORE, ambiguity: float = AMBIGUITY) -> DataFrame:
+    """(alias, place) of the aliases that the gazetteer knows."""
+    return _with_place(resolve_names(aliases, gazetteer, min_score, ambiguity))
+
+
 def _segmented(aliases: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """(alias, seg): city and administrative context in one text of 2 to 5 words, the shortest context that is known."""
     a = F.col("alias")
@@ -87,7 +92,7 @@ def resolve_places(raw: DataFrame, gazetteer: DataFrame | None, min_score: float
         quarter = P.without_caba(a)
         quarters = aliases.where(hinted).select("alias", quarter.alias("q")).where((F.col("q") != "") & ~F.col("q").rlike(r"\d") & (F.size(P.tokens(F.col("q"))) <= 5))
         every = aliases.unionByName(quarters.select(F.col("q").alias("alias"))).distinct()
-        hits, _ = stored(_with_place(resolve_names(every, gazetteer, min_score, ambiguity)))
+        hits, _ = stored(from_gazetteer(every, gazetteer, min_score, ambiguity))
         seg, _ = stored(_segmented(aliases.select("alias"), gazetteer))
         ok = (F.col("place.tipo") == "CIUDAD") & F.col("place.parent_key").contains("ciudad_autonoma_de_buenos_aires")
         in_caba = quarters.join(hits.where(ok).select(F.col("alias").alias("q"), F.col("place").alias("quarter")), "q").select("alias", "quarter")

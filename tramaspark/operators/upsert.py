@@ -58,14 +58,18 @@ def without_merged(vertices: DataFrame, merges: DataFrame, key: str) -> DataFram
     return vertices.join(merges.select(F.col("source_key").alias(key)).distinct(), key, "left_anti")
 
 
-def violations(df: DataFrame, table: str, unique: list[str], required: list[str]) -> DataFrame:
-    """(tabla, regla, columna, filas): keys on several rows and required values that are missing."""
+def violations(df: DataFrame, table: str, unique: list[str], required: list[str], domains: dict[str, list[str]] | None = None) -> DataFrame:
+    """(tabla, regla, columna, filas): keys on several rows, required values that are missing, and values outside their domain."""
     one = df.select(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])
     missing = one.select(F.explode(F.create_map(*[x for c in required for x in (F.lit(c), F.col(c))])).alias("columna", "filas")) if required else None
     parts = [] if missing is None else [missing.select(F.lit(table).alias("tabla"), F.lit("existencia").alias("regla"), "columna", "filas")]
     for c in unique:
         twice = df.where(F.col(c).isNotNull()).groupBy(c).count().where("count > 1").agg(F.count("*").alias("filas"))
         parts.append(twice.select(F.lit(table).alias("tabla"), F.lit("unicidad").alias("regla"), F.lit(c).alias("columna"), "filas"))
+    if domains:
+        one = df.agg(*[F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(values)).alias(c) for c, values in domains.items()])
+        outside = one.select(F.explode(F.create_map(*[x for c in domains for x in (F.lit(c), F.col(c))])).alias("columna", "filas"))
+        parts.append(outside.select(F.lit(table).alias("tabla"), F.lit("dominio").alias("regla"), "columna", "filas"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

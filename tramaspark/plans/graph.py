@@ -177,6 +177,7 @@ class PlaceLayer:
     aliases: DataFrame
     addresses: DataFrame
     events: DataFrame
+    own: DataFrame
 
 
 def stub(key: Column) -> Column:
@@ -214,14 +215,33 @@ def place_layer(spark: SparkSession, d: str, options: Options | None = None) ->
         "tipo", F.coalesce("parent_key", F.lit("__ROOT__")).alias("parent_key"), "lugar_key", "registro",
     )
     a = P.street_address(F.col("alias_raw"))
-    addresses = rows.select("lugar_key", a.alias("a")).where("a is not null").select(
-        F.concat(F.lit("direccion_ccd:"), scoped_key(F.col("a.direccion_norm"), F.col("lugar_key"))).alias("direccion_ccd_key"), F.lit("DESCONOCIDAS").alias("coordenadas"),
-        F.col("a.direccion_raw").alias("direccionExacta"), "lugar_key", F.col("a.confianza").alias("confianza_parseo"),
+    found = rows.select("lugar_key", a.alias("a")).where("a is not null")
+    addresses = found.groupBy(F.concat(F.lit("direccion_ccd:"), scoped_key(F.col("a.direccion_norm"), F.col("lugar_key"))).alias("direccion_ccd_key")).agg(
+        F.lit("DESCONOCIDAS").alias("coordenadas"), F.min("a.direccion_raw").alias("direccionExacta"), F.min("a.direccion_norm").alias("direccion_norm"),
+        F.min("lugar_key").alias("lugar_key"), F.min("a.confianza").alias("confianza_parseo"),
     )
     events = rows.select(
         F.concat(F.lit("registro:"), number).alias("persona_key"), "lugar_key", "tipo_relacion", F.coalesce("fecha", F.lit(UNKNOWN_DATE)).alias("fecha"), F.lit("detalles_personas").alias("origen")
     )
-    return PlaceLayer(places, parents, aliases, addresses.dropDuplicates(["direccion_ccd_key"]), events)
+    return PlaceLayer(places, parents, aliases, addresses, events, own)
+
+
+@dataclass(frozen=True)
+class World:
+    """Events, places and addresses of both sources: the places people typed, and the centres their records name."""
+
+    events: DataFrame
+    places: DataFrame
+    addresses: DataFrame
+    aliases: DataFrame
+
+
+def world(spark: SparkSession, d: str, options: Options | None = None) -> World:
+    layer = place_layer(spark, d, options)
+    return World(
+        layer.events.unionByName(centre_events(spark, d)), layer.places.unionByName(centres(spark, d), allowMissingColumns=True),
+        layer.addresses.unionByName(centre_addresses(spark, d), allowMissingColumns=True), layer.aliases,
+    )
 
 
 def anchors(spark: SparkSession, d: str, places: DataFrame, options: Options | None = None) -> DataFrame:

@@ -52,7 +52,7 @@ def tables(spark: SparkSession, d: str, options: G.Options | None = None, source
         places = cut(_merged(layer.places.unionByName(centres, allowMissingColumns=True), more("lugares", "tipo_entidad", "Lugar"), "lugar_key"))
         parents = cut(_added(layer.parents.unionByName(G.anchors(spark, d, layer.places, o)), more("jerarquias", "tipo_relacion", "PARTE_DE")).distinct())
         events = cut(_added(layer.events.unionByName(G.centre_events(spark, d)), direct.get("eventos_espaciales")))
-        addresses = cut(_added(layer.addresses.unionByName(G.centre_addresses(spark, d), allowMissingColumns=True), more("lugares", "tipo_entidad", "DireccionCCD")))
+        addresses = cut(_added(layer.addresses.drop("direccion_norm").unionByName(G.centre_addresses(spark, d), allowMissingColumns=True), more("lugares", "tipo_entidad", "DireccionCCD")))
         aliases = cut(_added(layer.aliases, more("lugares", "tipo_entidad", "AliasLugar")))
         if o.apply_place_merges:
             scope = aliases.groupBy("lugar_key").agg(F.min("parent_key").alias("scope"), F.count("*").alias("n")).where("scope <> '__ROOT__'")
@@ -66,7 +66,7 @@ def tables(spark: SparkSession, d: str, options: G.Options | None = None, source
     if not o.skip_report:
         none = lambda schema: spark.createDataFrame([], schema)
         out["informe"] = V.report(
-            people, kin, out.get("eventos", none("tipo_relacion string")), out.get("lugares", none("lugar_key string")), out.get("direcciones", none("lugar_key string")), out.get("candidatos")
+            people, kin, out.get("eventos", none("tipo_relacion string")), out.get("lugares", none("lugar_key string")), out.get("direcciones", none("lugar_key string")), out.get("alias", none("alias_key string")), out.get("candidatos")
         )
     return out
 

@@ -13,7 +13,6 @@ from ..operators import gazetteer
 from ..operators.latest import latest
 from ..operators.place_merge import merges, slip_pairs
 from ..operators.reconcile import candidates, exact_candidates, fuzzy_candidates, placeholders
-from ..operators.resolve import resolve_places
 from ..operators.upsert import edge_set, linked, redirect, upsert, violations, with_placeholders
 from ..runtime import cut, table
 from . import analytics as A
@@ -112,13 +111,20 @@ def family_vertices(s: SparkSession, d: str) -> DataFrame:
 
 
 def strict_edges(s: SparkSession, d: str) -> DataFrame:
-    """Family edges whose source is a person on record, repeated ones kept."""
-    return linked(G.kinship(s, d), G.persons(s, d), "persona_key", "source_key").groupBy("fuente", "tipo").agg(F.count("*").alias("n"))
+    """Family edges whose source is a person on record, with how often each is told."""
+    return linked(G.kinship(s, d), G.persons(s, d), "persona_key", "source_key").groupBy("source_key", "target_key", "fuente", "tipo").agg(F.count("*").alias("n"))
 
 
 def linked_events(s: SparkSession, d: str) -> DataFrame:
-    e = linked(linked(G.centre_events(s, d), G.people(s, d), "persona_key", "persona_key"), G.centres(s, d), "lugar_key", "lugar_key")
-    return e.groupBy("tipo_relacion", "lugar_key").agg(F.count("*").alias("n"))
+    """Events of both sources whose person and place are in the graph, with how often each is told."""
+    w = G.world(s, d)
+    e = linked(linked(w.events, G.people(s, d), "persona_key", "persona_key"), w.places, "lugar_key", "lugar_key")
+    return e.groupBy("persona_key", "lugar_key", "tipo_relacion", "fecha", "origen").agg(F.count("*").alias("n"))
+
+
+def _in_world(make: Callable[[G.World, SparkSession, str], DataFrame]) -> Query:
+    """A query over the events, places and addresses of both sources."""
+    return lambda s, d: make(G.world(s, d), s, d)
 
 
 def parent_links(s: SparkSession, d: str) -> DataFrame:
@@ -206,29 +212,11 @@ def contexts(s: SparkSession, d: str) -> DataFrame:
     return gazetteer.resolve_context(e.withColumn("preferred", F.lit("BUENOS AIRES")), gazetteer.from_table(table(s, d, "georef_localidades")))
 
 
-def resolved(s: SparkSession, d: str) -> DataFrame:
-    gaz = cut(gazetteer.from_table(table(s, d, "georef_localidades")))
-    return resolve_places(G.typed_places(s, d).select("raw"), gaz).select("raw", "alias_norm", "tipo", "nombre", "lugar_key", "parent_key", "pais_code")
-
-
-def resolved_plain(s: SparkSession, d: str) -> DataFrame:
-    return resolve_places(G.typed_places(s, d).select("raw"), None).select("raw", "alias_norm", "tipo", "nombre", "lugar_key", "parent_key", "pais_code")
-
-
-def place_layer(s: SparkSession, d: str) -> DataFrame:
-    p = G.place_layer(s, d)
-    out = None
-    for name, t in (("lugares", p.places), ("jerarquias", p.parents), ("alias", p.aliases), ("direcciones", p.addresses), ("eventos", p.events)):
-        one = t.agg(F.count("*").alias("filas")).select(F.lit(name).alias("tabla"), "filas")
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
 def anchored(s: SparkSession, d: str) -> DataFrame:
     return G.anchors(s, d, G.place_layer(s, d).places)
 
 
-def _scoped(s: SparkSession, d: str) -> DataFrame:
+def scoped_places(s: SparkSession, d: str) -> DataFrame:
     e = latest(table(s, d, "eaaf_lugares"), "sitio_id", "cargado_en", ["LOCALIDAD", "PROVINCIA"])
     rows = e.select(text.place_text(F.col("LOCALIDAD")).alias("nombre"), text.geo_name(F.col("PROVINCIA")).alias("scope")).where("nombre <> '' and scope is not null")
     counted = rows.groupBy("nombre", "scope").agg(F.count("*").alias("n"))
@@ -236,11 +224,11 @@ def _scoped(s: SparkSession, d: str) -> DataFrame:
 
 
 def place_slips(s: SparkSession, d: str) -> DataFrame:
-    return slip_pairs(_scoped(s, d)).select("a", "b", F.bround("score", 6).alias("score"), "reason")
+    return slip_pairs(scoped_places(s, d)).select("a", "b", F.bround("score", 6).alias("score"), "reason")
 
 
 def place_merges(s: SparkSession, d: str) -> DataFrame:
-    p = cut(_scoped(s, d))
+    p = cut(scoped_places(s, d))
     return merges(p, p.select("lugar_key", "n"))
 
 
@@ -285,8 +273,15 @@ def constraint_report(s: SparkSession, d: str) -> DataFrame:
     return violations(det, "detalles", ["registro"], ["registro", "nombre", "Nacionalidad"])
 
 
-def report(s: SparkSession, d: str) -> DataFrame:
-    return V.report(G.persons(s, d), G.kinship(s, d), G.centre_events(s, d), G.centres(s, d), G.centre_addresses(s, d), table(s, d, "candidatos").where("placeholder_key <> '' and candidate_key <> ''"))
+def report(w: G.World, s: SparkSession, d: str) -> DataFrame:
+    return V.report(G.persons(s, d), G.kinship(s, d), w.events, w.places, w.addresses, w.aliases, _pairs(s, d))
+
+
+def domain_report(s: SparkSession, d: str) -> DataFrame:
+    """Values outside their domain, in the tables that have one."""
+    j = violations(table(s, d, "jerarquias"), "jerarquias", [], ["fila_id"], {"tipo_relacion": ["PARTE_DE", "UBICADA_EN"]})
+    c = violations(table(s, d, "candidatos"), "candidatos", [], ["placeholder_key", "candidate_key"], {"confianza": ["alta", "media"]})
+    return j.unionByName(c).unionByName(violations(table(s, d, "ccds"), "ccds", ["id_ccd"], ["id_ccd", "denominacion"]))
 
 
 def _pairs(s: SparkSession, d: str) -> DataFrame:
@@ -321,7 +316,6 @@ QUERIES: dict[str, Query] = {
     "ref_p2_protagonistas": lambda s, d: G.grandchildren(s, d).select("persona_key", "nombre", "caso", "ADN", "adn_imputed"),
     "ref_p3_kin_nietxs": family_edges,
     "ref_p4_kin_detalles": lambda s, d: G.kin_of_people(s, d),
-    "ref_p6_place_layer": place_layer,
     "ref_p9_typed_places": lambda s, d: G.typed_places(s, d),
     "ref_p10_centros": lambda s, d: G.centres(s, d).select("lugar_key", "nombre", "id_ccd", "zona", "jurisdiccion", "lat", "lon"),
     "ref_p10_eventos": lambda s, d: G.centre_events(s, d),
@@ -339,8 +333,7 @@ QUERIES: dict[str, Query] = {
     "ref_k11_candidatos": candidate_merge,
     "ref_k12_redirect": redirected,
     "ref_k14_constraints": constraint_report,
-    "ref_g20_resolve": resolved,
-    "ref_g20_resolve_plain": resolved_plain,
+    "ref_k14_domains": domain_report,
     "ref_j1_gazetteer_hits": gazetteer_hits,
     "ref_j2_provinces_said": provinces_said,
     "ref_j3_gazetteer_best": gazetteer_best,
@@ -355,48 +348,47 @@ QUERIES: dict[str, Query] = {
     "ref_t1_chain_edges": chain_edges,
     "ref_t2_shortcut": chain_shortcut,
     "ref_t3_rollup": tree_rollup,
-    "ref_a1_hotspots": lambda s, d: A.hotspots(G.centre_events(s, d), G.centres(s, d)),
-    "ref_a2_hotspots_by_type": lambda s, d: A.hotspots_by_type(G.centre_events(s, d), G.centres(s, d)),
-    "ref_a3_by_year": lambda s, d: A.by_year(G.centre_events(s, d)),
-    "ref_a4_by_jurisdiction": lambda s, d: A.by_year_and_jurisdiction(G.centre_events(s, d), G.centres(s, d)),
-    "ref_a5_busiest_people": lambda s, d: A.busiest_people(G.centre_events(s, d), G.people(s, d)),
-    "ref_a6_multi_site": lambda s, d: A.multi_site(G.centre_events(s, d), G.centres(s, d), G.people(s, d)).withColumn("muestra_lugares", F.array_join("muestra_lugares", ";")),
+    "ref_a1_hotspots": _in_world(lambda w, s, d: A.hotspots(w.events, w.places)),
+    "ref_a2_hotspots_by_type": _in_world(lambda w, s, d: A.hotspots_by_type(w.events, w.places)),
+    "ref_a3_by_year": _in_world(lambda w, s, d: A.by_year(w.events)),
+    "ref_a4_by_jurisdiction": _in_world(lambda w, s, d: A.by_year_and_jurisdiction(w.events, w.places)),
+    "ref_a5_busiest_people": _in_world(lambda w, s, d: A.busiest_people(w.events, G.people(s, d))),
+    "ref_a6_multi_site": _in_world(lambda w, s, d: A.multi_site(w.events, w.places, G.people(s, d)).withColumn("muestra_lugares", F.array_join("muestra_lugares", ";"))),
     "ref_a7_network": lambda s, d: A.related_network(_related(s, d), G.people(s, d)),
     "ref_a8_placeholder_quality": lambda s, d: A.placeholder_quality(placeholders(G.kinship(s, d)), exact_matches(s, d)).withColumn("score_promedio", F.round("score_promedio", 9)),
     "ref_a8_quality_with_fuzzy": quality_with_fuzzy,
     "ref_a9_ambiguous": lambda s, d: A.ambiguous_placeholders(_pairs(s, d)).withColumn("muestra_candidatos", F.array_join("muestra_candidatos", ";")),
-    "ref_a10_address_coverage": lambda s, d: A.address_coverage(G.centre_events(s, d), G.centre_addresses(s, d)),
-    "ref_a11_addresses": lambda s, d: A.top_addresses(G.centre_events(s, d), G.centre_addresses(s, d), G.centres(s, d)),
+    "ref_a10_address_coverage": _in_world(lambda w, s, d: A.address_coverage(w.events, w.addresses)),
+    "ref_a11_addresses": _in_world(lambda w, s, d: A.top_addresses(w.events, w.addresses, w.places)),
     "ref_a12_anchor_coverage": lambda s, d: A.anchor_coverage(table(s, d, "jerarquias").where("tipo_relacion = 'PARTE_DE' and child_key <> ''").select(F.col("child_key").alias("lugar_key")).distinct(), parent_links(s, d)),
     "ref_a13_centres": lambda s, d: A.busiest_centres(G.centre_events(s, d), G.centres(s, d)),
-    "ref_a14_density": lambda s, d: A.density(G.centre_events(s, d), G.centres(s, d)),
-    "ref_a15_states_by_year": lambda s, d: A.states_by_year(G.centre_events(s, d), G.people(s, d), ["PRESENTE_EN", "PARIO_EN"]),
-    "ref_a16_places_by_people": lambda s, d: A.places_by_people(G.centre_events(s, d), G.centres(s, d)),
-    "ref_a17_sequences": lambda s, d: A.sequences(G.centre_events(s, d), G.centres(s, d), G.people(s, d)).withColumn("secuencia", F.array_join("secuencia", ";")),
+    "ref_a14_density": _in_world(lambda w, s, d: A.density(w.events, w.places)),
+    "ref_a15_states_by_year": _in_world(lambda w, s, d: A.states_by_year(w.events, G.people(s, d), ["SECUESTRADO_EN", "ASESINADO_EN", "PRESENTE_EN"])),
+    "ref_a16_places_by_people": _in_world(lambda w, s, d: A.places_by_people(w.events, w.places)),
+    "ref_a17_sequences": _in_world(lambda w, s, d: A.sequences(w.events, w.places, G.people(s, d)).withColumn("secuencia", F.array_join("secuencia", ";"))),
     "ref_v1_roles": lambda s, d: V.roles(G.persons(s, d)),
     "ref_v2_sources": lambda s, d: V.by_source(G.persons(s, d)),
     "ref_v3_kin_ends": lambda s, d: V.kin_ends(G.kin_of_grandchildren(s, d)),
     "ref_v4_kin_types_nietxs": lambda s, d: V.kin_types(G.kinship(s, d), "nietxs_relacion"),
     "ref_v5_kin_types_detalles": lambda s, d: V.kin_types(G.kinship(s, d), "detalles_personas"),
     "ref_v6_states": lambda s, d: V.count_by(G.grandchildren(s, d), "estado"),
-    "ref_v7_event_types": lambda s, d: V.count_by(G.centre_events(s, d), "tipo_relacion"),
-    "ref_v8_event_coverage": lambda s, d: V.event_coverage(G.persons(s, d), G.centre_events(s, d), "PRESENTE_EN"),
+    "ref_v7_event_types": _in_world(lambda w, s, d: V.count_by(w.events, "tipo_relacion")),
+    "ref_v8_event_coverage": _in_world(lambda w, s, d: V.event_coverage(G.persons(s, d), w.events, "SECUESTRADO_EN")),
     "ref_v9_case_flags": lambda s, d: V.case_flags(G.grandchildren(s, d)),
     "ref_v10_candidates": lambda s, d: V.candidate_totals(_pairs(s, d)),
-    "ref_v11_listing": lambda s, d: V.event_coverage(G.persons(s, d), G.centre_events(s, d), "PARIO_EN"),
     "ref_v12_ambiguity": lambda s, d: V.ambiguity(_pairs(s, d)),
     "ref_v13_no_restitution": lambda s, d: V.without_restitution(G.grandchildren(s, d)),
     "ref_v14_alias_collisions": lambda s, d: V.alias_collisions(
         table(s, d, "eaaf_lugares").select(text.place_text(F.col("LOCALIDAD")).alias("alias_norm"), F.coalesce(text.geo_name(F.col("PROVINCIA")), F.lit("")).alias("scope"), "sitio_id").where("alias_norm <> ''"), ["alias_norm", "scope"], "sitio_id"
     ).withColumn("lista", F.array_join(F.transform("lista", lambda x: x.cast("string")), ";")),
-    "ref_v15_orphan_addresses": lambda s, d: V.orphans(G.centre_addresses(s, d), "lugar_key", G.centre_events(s, d), "lugar_key", "direcciones_huerfanas"),
-    "ref_v16_address_no_place": lambda s, d: V.orphans(address_links(s, d), "lugar_key", parent_links(s, d), "child_key", "sin_lugar"),
-    "ref_v17_event_no_place": lambda s, d: V.orphans(G.centre_events(s, d), "lugar_key", G.centres(s, d), "lugar_key", "sin_lugar"),
+    "ref_v15_orphan_addresses": _in_world(lambda w, s, d: V.orphans(w.addresses, "lugar_key", w.places, "lugar_key", "direcciones_huerfanas")),
+    "ref_v16_address_no_place": _in_world(lambda w, s, d: V.orphans(linked(w.events, w.addresses, "lugar_key", "lugar_key"), "lugar_key", w.places, "lugar_key", "sin_lugar")),
+    "ref_v17_event_no_place": _in_world(lambda w, s, d: V.orphans(w.events, "lugar_key", w.places, "lugar_key", "sin_lugar")),
     "ref_v18_no_parent": lambda s, d: V.orphans(table(s, d, "jerarquias").where("tipo_relacion = 'PARTE_DE' and parent_key <> ''").select("parent_key").distinct(), "parent_key", table(s, d, "jerarquias").where("tipo_relacion = 'PARTE_DE'"), "child_key", "sin_padre"),
     "ref_v19_misplaced_alias": lambda s, d: V.misplaced_alias(
         table(s, d, "ccds").select(text.place_text(F.col("ubicacion")).alias("alias_norm"), F.concat(F.lit("lugar:CCD:"), text.slug(F.col("id_ccd"))).alias("lugar_key")), G.centres(s, d), "CAPITAL FEDERAL", "FEDERAL"
     ),
     "ref_v20_link_coverage": lambda s, d: V.link_coverage(G.centre_references(s, d).select(F.concat(F.lit("lugar:CCD:"), text.slug(F.col("id"))).alias("lugar_key")), G.centres(s, d)),
-    "ref_v21_roles_by_event": lambda s, d: G.centre_events(s, d).groupBy("tipo_relacion", "origen").agg(F.count("*").alias("c")),
-    "ref_q1_report": report,
+    "ref_v21_roles_by_event": lambda s, d: V.roles_by_event(G.centre_references(s, d)),
+    "ref_q1_report": _in_world(report),
 }

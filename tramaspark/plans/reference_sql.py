@@ -217,7 +217,6 @@ SQL: dict[str, str] = {
     "ref_v8_event_coverage": BASE + "SELECT count(*) AS total_personas, count(*) FILTER (WHERE persona_key IN (SELECT persona_key FROM eve WHERE tipo_relacion = 'PRESENTE_EN')) AS personas_con_evento FROM todos",
     "ref_v9_case_flags": BASE + "SELECT count(*) AS total_casos, count(*) FILTER (WHERE NOT adn_imputed) AS casos_con_adn, count(restitucion) AS casos_con_restitucion FROM gra",
     "ref_v10_candidates": CAN + "SELECT count(*) AS total_candidatos, count(DISTINCT placeholder_key) AS placeholders_con_candidato, count(DISTINCT candidate_key) AS personas_candidatas FROM can",
-    "ref_v11_listing": BASE + "SELECT count(*) AS total_personas, count(*) FILTER (WHERE persona_key IN (SELECT persona_key FROM eve WHERE tipo_relacion = 'PARIO_EN')) AS personas_con_evento FROM todos",
     "ref_v12_ambiguity": CAN + "SELECT placeholder_key AS placeholder, count(*) AS candidatos FROM can GROUP BY 1 ORDER BY candidatos DESC, placeholder LIMIT 25",
     "ref_v13_no_restitution": BASE + "SELECT persona_key, caso FROM gra WHERE restitucion IS NULL",
     "ref_v14_alias_collisions": f"WITH t AS (SELECT {place('LOCALIDAD')} AS alias_norm, coalesce({geo('PROVINCIA')}, '') AS scope, sitio_id FROM eaaf_lugares) SELECT alias_norm, scope, count(DISTINCT sitio_id) AS distintos, array_to_string(list_sort(list(DISTINCT sitio_id)), ';') AS lista FROM t WHERE alias_norm <> '' GROUP BY ALL HAVING count(DISTINCT sitio_id) > 1 ORDER BY distintos DESC, alias_norm, scope LIMIT 50",

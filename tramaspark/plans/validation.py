@@ -77,15 +77,29 @@ def link_coverage(events: DataFrame, places: DataFrame) -> DataFrame:
     return events.join(known, "lugar_key", "left").agg(F.count("*").alias("eventos"), F.count("con").alias("con_lugar")).withColumn("pct", F.round(100.0 * F.col("con_lugar") / F.col("eventos"), 2))
 
 
-def report(people: DataFrame, kin: DataFrame, events: DataFrame, places: DataFrame, addresses: DataFrame, candidates: DataFrame | None) -> DataFrame:
-    """(indicador, valor): the counters of a load; every table is read once."""
+def roles_by_event(references: DataFrame) -> DataFrame:
+    """Events at centres by their type and the role as typed in the record that tells of them."""
+    role = F.lower(F.col("relacion"))
+    kind = F.when(role == "pario_en", "PARIO_EN").otherwise("PRESENTE_EN")
+    return references.groupBy(kind.alias("tipo_relacion"), F.coalesce(role, F.lit("(sin_rol)")).alias("rol")).agg(F.count("*").alias("c"))
+
+
+def report(people: DataFrame, kin: DataFrame, events: DataFrame, places: DataFrame, addresses: DataFrame, aliases: DataFrame, candidates: DataFrame | None) -> DataFrame:
+    """(indicador, valor): the counters of a load; every table is read once.
+
+    Victims, accomplices and perpetrators are counted by their marks, which no source of these tables sets: they are 0.
+    """
     family = "HIJE_DE PADRE_DE MADRE_DE NIETX_DE ABUELX_DE HERMANX_DE PAREJA_DE CUÑADX_DE SUEGRX_DE YERNX_NUERX_DE".split()
     counts = [
-        people.agg(F.count("*").alias("personas_total"), F.count_if(F.col("es_nietx")).alias("nietxs_total")),
+        people.agg(
+            F.count("*").alias("personas_total"), F.count_if(F.col("es_nietx")).alias("nietxs_total"),
+            *[F.count_if(F.col(f"es_{one}") if f"es_{one}" in people.columns else F.lit(False)).alias(f"{many}_total") for one, many in (("victima", "victimas"), ("complice", "complices"), ("represor", "represores"))],
+        ),
         kin.agg(F.count_if(F.col("tipo").isin(family)).alias("rel_familiares_total")),
         events.agg(*[F.count_if(F.col("tipo_relacion") == k).alias(f"rel_{k.lower()}_total") for k in ("SECUESTRADO_EN", "ASESINADO_EN", "NACIO_EN", "PRESENTE_EN", "PARIO_EN", "MURIO_EN", "LIBERADO_EN")]),
         places.agg(F.count("*").alias("lugares_total")),
         addresses.agg(F.count("*").alias("direcciones_ccd_total")),
+        aliases.agg(F.count("*").alias("alias_lugar_total")),
     ]
     if candidates is not None:
         counts.append(candidates.agg(F.count("*").alias("candidatos_merge_total")))
