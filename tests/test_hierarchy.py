@@ -42,7 +42,9 @@ def test_random_forest_with_circles(spark, seed):
     want = brute(parent)
     linked = {v for v, p in parent.items() if p is not None} | {p for p in parent.values() if p}
     assert got == {v: want[v] for v in linked | {"zz"}}
-    full = {x.node: x for x in paths(nodes, "/").collect()}
+    full = {x.node: x for x in paths(nodes, "/", length=3).collect()}
+    light, _ = hierarchy(frame(spark, parent), "child", "parent", "ts", intervals=False)
+    assert {(x.node, x.root_key, x.depth, x.size) for x in light.collect()} == {(x.node, x.root_key, x.depth, x.size) for x in full.values()}
     for v, row in full.items():
         chain, at = [v], v
         while parent[at] is not None:
@@ -72,3 +74,10 @@ def test_empty_and_null_keys(spark):
     odd = spark.sql("select * from values (cast(null as string), 'p', timestamp'2020-01-01'), ('', 'q', null), ('a', '', null), ('b', null, null) t(child, parent, ts)")
     nodes, _ = hierarchy(odd, "child", "parent", "ts")
     assert sorted(r.node for r in nodes.collect()) == ["a", "b", "p", "q"]
+
+
+def test_long_chain_in_segments(spark):
+    parent = {f"c{i:04}": f"c{i - 1:04}" if i else None for i in range(2500)}
+    nodes, _ = hierarchy(frame(spark, parent).where("parent <> 'zz'"), "child", "parent", "ts")
+    got = {x.node: x.path for x in paths(nodes, "/").where("node in ('c0000', 'c1023', 'c1024', 'c2499')").collect()}
+    assert all(p == "/".join(f"c{i:04}" for i in range(int(v[1:]) + 1)) for v, p in got.items()) and len(got) == 4

@@ -68,10 +68,10 @@ def from_table(localities: DataFrame) -> DataFrame:
     return places.unionByName(departments).unionByName(provinces)
 
 
-def ngrams(words: Column) -> Column:
-    """All runs of at most LONGEST words as ARRAY<STRUCT<gram, size, start>>; single words of under 4 letters are left out."""
+def ngrams(words: Column, longest: int = LONGEST) -> Column:
+    """All runs of at most `longest` words as ARRAY<STRUCT<gram, size, start>>; single words of under 4 letters are left out."""
     n = F.size(words)
-    sizes = F.when(n > 0, F.sequence(F.lit(1), F.least(F.lit(LONGEST), n))).otherwise(F.array().cast("array<int>"))
+    sizes = F.when(n > 0, F.sequence(F.lit(1), F.least(F.lit(longest), n))).otherwise(F.array().cast("array<int>"))
     runs = F.flatten(
         F.transform(
             sizes,
@@ -92,8 +92,7 @@ def matches(aliases: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """
     words = aliases.select("alias").distinct().withColumn("w", tokens(F.col("alias")))
     grams = words.select("alias", "w", F.explode(ngrams(F.col("w"))).alias("g")).select("alias", "w", "g.*")
-    named = gazetteer.where("level = 'PROVINCIA' and length(name) >= 4").select(F.col("name").alias("gram"), "province")
-    said = grams.select("alias", "gram").join(named, "gram").groupBy("alias").agg(F.collect_set("province").alias("said"))
+    said = provinces_said(aliases, gazetteer).groupBy("alias").agg(F.collect_set("province").alias("said"))
     hit = grams.join(gazetteer.withColumnRenamed("name", "gram"), "gram").join(said, "alias", "left")
     hit = hit.where((F.col("level") == "PROVINCIA") | F.col("said").isNull() | F.array_contains("said", F.col("province")))
     before = F.get("w", F.col("start") - 1)
@@ -139,9 +138,14 @@ def resolve_context(contexts: DataFrame, gazetteer: DataFrame) -> DataFrame:
 
 
 def provinces_said(aliases: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """(alias, province) of every province an alias names in full, names of under 4 letters aside."""
+    """(alias, province) of every province an alias names in full words, names of under 4 letters aside.
+
+    Runs are as long as the longest province name, however many words that has, so that a join on them finds whatever
+    the alias contains.
+    """
     names = gazetteer.where("level = 'PROVINCIA' and length(name) >= 4").select("name", "province").distinct()
-    grams = aliases.select("alias", F.explode(ngrams(tokens(F.col("alias")))["gram"]).alias("name"))
+    longest = names.agg(F.max(F.size(F.split("name", " ")))).collect()[0][0] or 1
+    grams = aliases.select("alias").distinct().select("alias", F.explode(ngrams(tokens(F.col("alias")), longest)["gram"]).alias("name"))
     return grams.distinct().join(names, "name").select("alias", "province").distinct()
 
 

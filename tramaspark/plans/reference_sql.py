@@ -115,7 +115,7 @@ GAZ = f"""gaz AS (SELECT DISTINCT {geo('localidad')} AS name, 'LOCALIDAD' AS lev
 LOC = f"loc AS (SELECT DISTINCT {place("concat_ws(' ', LOCALIDAD, PROVINCIA)")} AS alias FROM eaa)"
 GRAM = """w AS (SELECT alias, string_split(alias, ' ') AS t FROM loc WHERE alias <> ''), pos AS (SELECT alias, t, unnest(range(len(t))) AS i FROM w), gr AS (SELECT alias, t, i, k, array_to_string(t[i + 1 : i + k], ' ') AS gram FROM pos, range(1, 7) r(k) WHERE i + k <= len(t)),
 g AS (SELECT * FROM gr WHERE k > 1 OR length(gram) >= 4)"""
-HITS = f"WITH {EAA}, {GAZ}, {LOC}, {GRAM}, said AS (SELECT DISTINCT alias, name AS province FROM g JOIN gaz ON gram = name WHERE level = 'PROVINCIA' AND length(name) >= 4) "
+HITS = f"WITH {EAA}, {GAZ}, {LOC}, {GRAM}, said AS (SELECT DISTINCT alias, name AS province FROM loc JOIN gaz ON ' ' || alias || ' ' LIKE '% ' || name || ' %' WHERE level = 'PROVINCIA' AND length(name) >= 4) "
 FAM = "'HIJE_DE','PADRE_DE','MADRE_DE','NIETX_DE','ABUELX_DE','HERMANX_DE','PAREJA_DE','CUÑADX_DE','SUEGRX_DE','YERNX_NUERX_DE'"
 
 SQL: dict[str, str] = {

@@ -48,7 +48,7 @@ def _parte_de(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    nodes, cyclic = hierarchy(_parte_de(spark, d), "child_key", "parent_key", "cargado_en")
+    nodes, cyclic = hierarchy(_parte_de(spark, d), "child_key", "parent_key", "cargado_en", intervals=False)
     tree = nodes.select(F.col("node").alias("node_key"), "root_key", "depth")
     return tree.unionByName(cyclic.select(F.col("node").alias("node_key"), "root_key", F.col("depth").cast("int").alias("depth")))
 
@@ -78,6 +78,6 @@ def located_points(spark: SparkSession, d: str) -> DataFrame:
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     points = cut(located_points(spark, d))
     near = geo.near_pairs(points, 500.0).select(F.col("key_a").alias("clave_a"), F.col("key_b").alias("clave_b"))
-    areas = geo.regions(table(spark, d, "areas_militares").dropDuplicates(["area_id"]), F.concat(F.lit("r:"), "area_id"), F.col("wkt"))
+    areas = geo.regions(table(spark, d, "areas_militares").groupBy("area_id").agg(F.max("wkt").alias("wkt")), F.concat(F.lit("r:"), "area_id"), F.col("wkt"))
     held = geo.inside(points, areas).select(F.col("key").alias("clave_a"), F.col("area").alias("clave_b"))
     return near.unionByName(held)
