@@ -46,3 +46,29 @@ def test_inside_with_hole(spark):
     points = spark.createDataFrame([("in", 1.0, 1.0), ("hole", 5.0, 5.0), ("m", 0.2, 30.9), ("out", 50.0, 50.0)], "key string, lat double, lon double")
     got = geo.inside(points, geo.regions(areas, F.col("a"), F.col("w"))).collect()
     assert sorted(map(tuple, got)) == [("in", "h"), ("m", "m")]
+
+
+def test_many_regions_are_joined_by_salted_tiles(spark, monkeypatch):
+    areas = spark.createDataFrame([("h", "POLYGON ((0 0, 2 0, 2 2, 0 2, 0 0))"), ("i", "POLYGON ((5 5, 6 5, 6 6, 5 6, 5 5))")], "a string, w string")
+    points = spark.createDataFrame([(f"p{k}", 0.5 + k % 2, 0.5) for k in range(200)] + [("q", 5.5, 5.5), ("r", 3.0, 3.0)], "key string, lat double, lon double")
+    got = lambda: sorted(map(tuple, geo.inside(points, geo.regions(areas, F.col("a"), F.col("w"))).collect()))
+    whole = got()
+    monkeypatch.setattr(geo, "FEW_EDGES", 0)
+    assert got() == whole and len(whole) == 201
+
+
+def test_pivots_in_two_levels_are_exact():
+    r = np.random.default_rng(5)
+    unit = geo._unit(np.radians(r.uniform(-40, -30, 3000)), np.radians(r.uniform(-70, -55, 3000)))
+    points = geo._unit(np.radians(r.uniform(-40, -30, 500)), np.radians(r.uniform(-70, -55, 500)))
+    i, j, nearest = geo.Pivots(unit).near(points, 1002.0)
+    d = geo._angle(points, unit)
+    assert {*zip(i.tolist(), j.tolist(), strict=True)} == {*zip(*(x.tolist() for x in np.nonzero(d <= d.min(axis=1)[:, None] + 1002.0)), strict=True)}
+    assert j[nearest].tolist() == d.argmin(axis=1).tolist() and i[nearest].tolist() == list(range(500))
+
+
+def test_a_crowded_spot_is_copied_once_a_block(spark):
+    n, block = 400, 50
+    df = spark.createDataFrame([(f"k{i:04}", -34.5, -58.5) for i in range(n)] + [("far", 10.0, 10.0)], "key string, lat double, lon double")
+    pairs = geo.near_pairs(df, 500.0, per_cell=20, block=block)
+    assert pairs.count() == n * (n - 1) // 2 == pairs.distinct().count()

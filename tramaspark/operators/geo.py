@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 EARTH_M = 6371.0088 * 1000
 LEAF = 24
+#: Regions with more edges over all tiles (32 bytes each) are not broadcast; points of a tile are then spread over so many tasks.
+FEW_EDGES = 500_000
+SALTS = 32
 
 
 def degrees(c: Column) -> Column:
@@ -113,11 +116,52 @@ def _unit(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
     return np.stack([np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat)], axis=1)
 
 
-def near_pairs(points: DataFrame, radius_m: float, per_cell: int = 1000, most_pivots: int = 4096, block: int = 2000) -> DataFrame:
+class Pivots:
+    """Pivots in two levels: every pivot is kept with the nearest of a few leading ones, and whole groups too far off are passed over."""
+
+    def __init__(self, unit: np.ndarray) -> None:
+        lead = unit[: max(1, math.isqrt(len(unit)))]
+        home = np.concatenate([_angle(unit[at : at + 4096], lead).argmin(axis=1) for at in range(0, len(unit), 4096)])
+        self.lead, self.members = lead, [np.nonzero(home == s)[0] for s in range(len(lead))]
+        self.vectors = [unit[m] for m in self.members]
+        self.radius = np.array([_angle(v, lead[s : s + 1]).max() if len(v) else 0.0 for s, v in enumerate(self.vectors)])
+
+    def near(self, points: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(point, pivot, whether it is the nearest one) of every pivot at most `reach` farther from a point than its nearest.
+
+        The nearest leading pivot bounds the distance to the nearest of all; a group farther off than that, its own
+        radius and reach holds none that counts. Of pivots at one distance the lower number is the nearest.
+        """
+        d = _angle(points, self.lead)
+        bound = d.min(axis=1) + reach + 1.0
+        rows, pivots, metres = [], [], []
+        for s, members in enumerate(self.members):
+            at = np.nonzero(d[:, s] - self.radius[s] <= bound)[0]
+            if len(at) and len(members):
+                own = _angle(points[at], self.vectors[s])
+                i, j = np.nonzero(own <= bound[at][:, None])
+                rows.append(at[i])
+                pivots.append(members[j])
+                metres.append(own[i, j])
+        i, j, m = np.concatenate(rows), np.concatenate(pivots), np.concatenate(metres)
+        order = np.lexsort((j, m, i))
+        i, j, m = i[order], j[order], m[order]
+        first = np.r_[True, i[1:] != i[:-1]]
+        least = m[first][np.cumsum(first) - 1]
+        keep = m <= least + reach
+        return i[keep], j[keep], first[keep]
+
+
+def _angle(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Metres between all unit vectors of a and of b."""
+    return EARTH_M * np.arccos(np.clip(a @ b.T, -1, 1))
+
+
+def near_pairs(points: DataFrame, radius_m: float, per_cell: int = 1000, most_pivots: int = 262_144, block: int = 2000) -> DataFrame:
     """(key_a, key_b, metres), key_a < key_b, of all pairs of different points at most radius_m apart.
 
     points: key (unique), lat, lon in degrees. Pivots are the distinct places of smallest hash, so that dense areas get
-    more of them; there are never more than most_pivots, and only they are broadcast. A point belongs to the cell of its
+    more of them; there are never more than most_pivots (6 MB), and only they are broadcast, in two levels. A point belongs to the cell of its
     nearest pivot p and also goes, as a guest, to each lower cell q with d(q) - d(p) <= 2 * radius: by the triangle
     inequality no pair is lost, and each is found in one cell only. A cell with more than `block` points is worked as
     pairs of blocks, so that no task holds more than two blocks however crowded a spot is.
@@ -134,19 +178,17 @@ def near_pairs(points: DataFrame, radius_m: float, per_cell: int = 1000, most_pi
     reach = 2 * radius_m + 2.0  # 2 m of slack for the rounding of arc cosines
 
     def assign(it):
-        unit = pivots.value
+        index = Pivots(pivots.value)
         for pdf in it:
             for at in range(0, len(pdf), 4096):
                 part = pdf.iloc[at : at + 4096]
-                own = _unit(np.radians(part["lat"].to_numpy()), np.radians(part["lon"].to_numpy()))
-                d = EARTH_M * np.arccos(np.clip(own @ unit.T, -1, 1))
-                home = d.argmin(axis=1)
-                guest = (d <= d[np.arange(len(part)), home][:, None] + reach) & (np.arange(len(unit))[None, :] <= home[:, None])
-                guest[np.arange(len(part)), home] = True
-                i, j = np.nonzero(guest)
-                out = part.iloc[i].copy()
-                out["cell"] = j.astype("int32")
-                out["own"] = home[i] == j
+                i, j, nearest = index.near(_unit(np.radians(part["lat"].to_numpy()), np.radians(part["lon"].to_numpy())), reach)
+                home = np.empty(len(part), dtype="int64")
+                home[i[nearest]] = j[nearest]
+                keep = j <= home[i]
+                out = part.iloc[i[keep]].copy()
+                out["cell"] = j[keep].astype("int32")
+                out["own"] = nearest[keep]
                 yield out
 
     placed = points.select("key", "lat", "lon").mapInPandas(assign, "key string, lat double, lon double, cell int, own boolean")
@@ -200,7 +242,9 @@ def regions(areas: DataFrame, key: Column, wkt: Column) -> DataFrame:
 def inside(points: DataFrame, areas: DataFrame) -> DataFrame:
     """(key, area) of every point in a region of regions(): planar, even-odd over all rings, so holes count as outside.
 
-    Regions are cut into one-degree tiles and joined to the points by tile; the exact test stays in the JVM.
+    Regions are cut into one-degree tiles and joined to the points by tile; the exact test stays in the JVM. Regions of
+    at most FEW_EDGES edges in all are broadcast. More are joined by a shuffle in which the points of a tile are spread over
+    SALTS tasks, so that a tile with a third of all points is none's alone.
     """
     tile = lambda c: F.floor(c).cast("int")
     tiles = areas.withColumn("tx", F.explode(F.sequence(tile(F.col("w")), tile(F.col("e"))))).withColumn("ty", F.explode(F.sequence(tile(F.col("s")), tile(F.col("n")))))
@@ -212,7 +256,12 @@ def inside(points: DataFrame, areas: DataFrame) -> DataFrame:
         return F.when((e["y1"] > y) != (e["y2"] > y), x < at_x).otherwise(F.lit(False))
 
     box = x.between(F.col("w"), F.col("e")) & y.between(F.col("s"), F.col("n"))
-    hits = at.join(tiles, ["tx", "ty"]).where(box)
+    edges = tiles.agg(F.coalesce(F.sum(F.size("edges")), F.lit(0))).collect()[0][0]
+    if edges <= FEW_EDGES:
+        hits = at.join(F.broadcast(tiles), ["tx", "ty"]).where(box)
+    else:
+        salted = tiles.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        hits = at.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(salted, ["tx", "ty", "salt"]).where(box)
     return hits.where(F.size(F.filter("edges", crosses)) % 2 == 1).select("key", "area").distinct()
 
 
