@@ -8,6 +8,9 @@ from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..runtime import cut
 
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 CLOSES = {"li": {"li"}, "p": {"p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -94,7 +97,7 @@ def tree(page: str | None) -> Node:
     return t.root
 
 
-PREFIX = "lesahumanidad-"
+#: The classes of the pages' elements, written out where they are used.
 
 
 def _said(n: Node | None, default: str = "") -> str:
@@ -110,7 +113,7 @@ def _card(box: Node | None, br: str = "", keep_label: bool = False) -> dict[str,
     out = {}
     for li in box.all("li") if box else []:
         label = li.first("strong")
-        if label and PREFIX + "datos-sentencia-archivo" not in li.classes:
+        if label and "lesahumanidad-datos-sentencia-archivo" not in li.classes:
             key = label.text().strip()
             key = key.rstrip(":").strip() if keep_label else key.replace(":", "").strip().lower().replace(" ", "_")
             out[key] = li.text(br, skip=label).strip()
@@ -118,13 +121,13 @@ def _card(box: Node | None, br: str = "", keep_label: bool = False) -> dict[str,
 
 
 def _behind(article: Node, cls: str, br: str = "") -> str:
-    head = article.first("h4", PREFIX + cls)
+    head = article.first("h4", cls)
     p = head.after("p") if head else None
     return p.text(br).strip() if p else ""
 
 
 def _image(article: Node, cls: str) -> str:
-    box = article.first("div", PREFIX + cls)
+    box = article.first("div", cls)
     img = box.first("img") if box else None
     return img.attrs.get("src", "") if img else ""
 
@@ -135,15 +138,15 @@ def _crimes(td: Node | None, keep_blank: bool) -> list[str]:
 
 
 def _table(block: Node, table: str, who: str, crimes: str, name: str, link: str | None, keep_blank: bool, base: str = "") -> list[dict]:
-    found = block.after("table", PREFIX + table)
+    found = block.after("table", table)
     body = found.first("tbody") if found else None
     out = []
     for tr in body.all("tr") if body else []:
-        td = tr.first("td", PREFIX + who)
+        td = tr.first("td", who)
         if td is None and keep_blank:
             continue
-        a = td.first("a", PREFIX + link if link else None) if td else None
-        out.append({f"{name}_nombre": _said(a or td), f"{name}_url": _absolute(_href(a), base), "delitos": _crimes(tr.first("td", PREFIX + crimes), keep_blank)})
+        a = td.first("a", link) if td else None
+        out.append({f"{name}_nombre": _said(a or td), f"{name}_url": _absolute(_href(a), base), "delitos": _crimes(tr.first("td", crimes), keep_blank)})
     return out
 
 
@@ -156,14 +159,14 @@ def centre(page: str, url: str) -> dict | None:
     if article is None:
         return None
     sections = {}
-    for div in article.all("div", PREFIX + "datos-ccd"):
-        head = div.first(cls=PREFIX + "ccd-subtitulo")
+    for div in article.all("div", "lesahumanidad-datos-ccd"):
+        head = div.first(cls="lesahumanidad-ccd-subtitulo")
         if head:
             sections[_said(head)] = "\n".join(t for p in div.all("p") if (t := _said(p)))
-    box = article.first("div", PREFIX + "victimas-de-un-ccd")
-    links = box.all("a", PREFIX + "link-victima") if box else []
+    box = article.first("div", "lesahumanidad-victimas-de-un-ccd")
+    links = box.all("a", "lesahumanidad-link-victima") if box else []
     return {
-        "source_url": url, "titulo": _said(article.first("h1"), "Sin Título"), "metadatos": _card(article.first("div", PREFIX + "ficha-items-ccd"), keep_label=True), "secciones": sections,
+        "source_url": url, "titulo": _said(article.first("h1"), "Sin Título"), "metadatos": _card(article.first("div", "lesahumanidad-ficha-items-ccd"), keep_label=True), "secciones": sections,
         "victimas": [{"nombre": _said(a), "url": urljoin(url, _href(a))} for a in links],
     }
 
@@ -172,17 +175,20 @@ def victim(page: str, url: str) -> dict | None:
     article = tree(page).first("article", "victima")
     if article is None:
         return None
-    box = article.first("div", PREFIX + "ccds-de-una-victima")
-    places = [a for li in box.all("li") if (a := li.first("a", PREFIX + "link-ccd"))] if box else []
+    box = article.first("div", "lesahumanidad-ccds-de-una-victima")
+    places = [a for li in box.all("li") if (a := li.first("a", "lesahumanidad-link-ccd"))] if box else []
     sentences = []
-    for block in article.all("div", PREFIX + "agrupamiento-tabla-sentencia"):
-        a = block.first("a", PREFIX + "link-sentencia")
+    for block in article.all("div", "lesahumanidad-agrupamiento-tabla-sentencia"):
+        a = block.first("a", "lesahumanidad-link-sentencia")
         if a:
-            field = "tabla-victimas-sentencias-imputados-campo-"
-            sentences.append({"sentencia_nombre": _said(a), "sentencia_url": _href(a), "imputados": _table(block, "tabla", field + "imputado", field + "delitos", "imputado", "link-imputado", True)})
+            rows = _table(
+                block, "lesahumanidad-tabla", "lesahumanidad-tabla-victimas-sentencias-imputados-campo-imputado", "lesahumanidad-tabla-victimas-sentencias-imputados-campo-delitos",
+                "imputado", "lesahumanidad-link-imputado", True,
+            )
+            sentences.append({"sentencia_nombre": _said(a), "sentencia_url": _href(a), "imputados": rows})
     return {
-        "source_url": url, "nombre": _said(article.first("h1"), "Desconocido"), "imagen_url": _image(article, "contenedor-img"), "datos_personales": _card(article.first("div", PREFIX + "ficha-items")),
-        "relato_hechos": _behind(article, "victima-subtitulo"), "centros_clandestinos": [{"nombre": _said(a), "url": _href(a)} for a in places], "sentencias": sentences,
+        "source_url": url, "nombre": _said(article.first("h1"), "Desconocido"), "imagen_url": _image(article, "lesahumanidad-contenedor-img"), "datos_personales": _card(article.first("div", "lesahumanidad-ficha-items")),
+        "relato_hechos": _behind(article, "lesahumanidad-victima-subtitulo"), "centros_clandestinos": [{"nombre": _said(a), "url": _href(a)} for a in places], "sentencias": sentences,
     }
 
 
@@ -191,23 +197,25 @@ def accused(page: str, url: str) -> dict | None:
     if article is None:
         return None
     sentences = []
-    for block in article.all("div", PREFIX + "agrupamiento-tabla-sentencia"):
-        a = block.first("a", PREFIX + "link-sentencia")
+    for block in article.all("div", "lesahumanidad-agrupamiento-tabla-sentencia"):
+        a = block.first("a", "lesahumanidad-link-sentencia")
         if a:
-            field = "tabla-sentencias-victimas-imputados"
-            rows = _table(block, field, field + "-campo-victima", field + "-campo-delitos", "victima", "link-victima", True)
+            rows = _table(
+                block, "lesahumanidad-tabla-sentencias-victimas-imputados", "lesahumanidad-tabla-sentencias-victimas-imputados-campo-victima",
+                "lesahumanidad-tabla-sentencias-victimas-imputados-campo-delitos", "victima", "lesahumanidad-link-victima", True,
+            )
             sentences.append({"sentencia_nombre": _said(a), "sentencia_url": _href(a), "victimas_asociadas": rows})
-    table = article.first("table", PREFIX + "tabla-imputados-condenas")
+    table = article.first("table", "lesahumanidad-tabla-imputados-condenas")
     body = table.first("tbody") if table else None
     convictions = []
     for tr in body.all("tr") if body else []:
-        what, penalty = (tr.first("td", PREFIX + f"tabla-imputados-condenas-campo-{x}") for x in ("sentencias", "sanciones"))
+        what, penalty = (tr.first("td", x) for x in ("lesahumanidad-tabla-imputados-condenas-campo-sentencias", "lesahumanidad-tabla-imputados-condenas-campo-sanciones"))
         if what and penalty:
-            a = what.first("a", PREFIX + "link-sentencia")
+            a = what.first("a", "lesahumanidad-link-sentencia")
             convictions.append({"sentencia_nombre": _said(a or what), "sentencia_url": _href(a), "sancion": _said(penalty)})
     return {
-        "source_url": url, "nombre": _said(article.first("h1"), "Desconocido"), "imagen_url": _image(article, "imputado-contenedor-img"), "datos_personales": _card(article.first("div", PREFIX + "ficha-items-imputado")),
-        "mas_informacion": _behind(article, "imputado-subtitulo"), "sentencias_y_victimas": sentences, "condenas_recibidas": convictions,
+        "source_url": url, "nombre": _said(article.first("h1"), "Desconocido"), "imagen_url": _image(article, "lesahumanidad-imputado-contenedor-img"), "datos_personales": _card(article.first("div", "lesahumanidad-ficha-items-imputado")),
+        "mas_informacion": _behind(article, "lesahumanidad-imputado-subtitulo"), "sentencias_y_victimas": sentences, "condenas_recibidas": convictions,
     }
 
 
@@ -215,27 +223,29 @@ def sentence(page: str, url: str) -> dict | None:
     article = tree(page).first("article", "sentencia")
     if article is None:
         return None
-    box = article.first("div", PREFIX + "ficha-items-sentencia")
+    box = article.first("div", "lesahumanidad-ficha-items-sentencia")
     card = _card(box, ", ")
     pdf = next((a for a in box.all("a") if "href" in a.attrs), None) if box else None
     if pdf:
         card["sentencia_completa_pdf"] = pdf.attrs["href"]
     victims = []
     base = urljoin(url, "/")
-    for block in article.all("div", PREFIX + "agrupamiento-tabla-sentencia"):
-        a = block.first("a", PREFIX + "link-victima")
-        field = "tabla-sentencias-victimas-imputados"
+    for block in article.all("div", "lesahumanidad-agrupamiento-tabla-sentencia"):
+        a = block.first("a", "lesahumanidad-link-victima")
         victims.append({
             "victima_nombre": _said(a) if a else block.text().replace("Víctima:", "").strip(), "victima_url": _absolute(_href(a), base),
-            "imputados": _table(block, field, field + "-campo-imputado", field + "-campo-delitos", "imputado", None, False, base),
+            "imputados": _table(
+                block, "lesahumanidad-tabla-sentencias-victimas-imputados", "lesahumanidad-tabla-sentencias-victimas-imputados-campo-imputado",
+                "lesahumanidad-tabla-sentencias-victimas-imputados-campo-delitos", "imputado", None, False, base,
+            ),
         })
-    return {"url_detalle": url, "titulo": _said(article.first("h1")), "datos_tecnicos": card, "resumen": _behind(article, "sentencia-subtitulo", "\n"), "victimas_e_imputados": victims}
+    return {"url_detalle": url, "titulo": _said(article.first("h1")), "datos_tecnicos": card, "resumen": _behind(article, "lesahumanidad-sentencia-subtitulo", "\n"), "victimas_e_imputados": victims}
 
 
 def list_links(page: str, url: str) -> dict:
     """The detail pages a list page leads to (more-buttons, else their card's link, else links of the kind), absolute, each once."""
     root = tree(page)
-    links = [_href(a) for a in root.all("a", PREFIX + "link-btn-ver-mas")]
+    links = [_href(a) for a in root.all("a", "lesahumanidad-link-btn-ver-mas")]
     for button in root.all("button", "btn-ver-mas"):
         up = button.parent
         while up is not None and up.tag not in ("a", "article", "div", "li"):
@@ -270,6 +280,27 @@ def extract(pages: DataFrame, kind: Callable[[str, str], dict | None]) -> DataFr
     return pages.select("url", "html").mapInPandas(run, SCHEMAS[kind])
 
 
+def crawl(pages: DataFrame, start: DataFrame, kind: Callable[[str, str], dict | None]) -> DataFrame:
+    """The records of all detail pages that the list pages lead to: from the start pages (url) on, following each next page.
+
+    pages: (url, html), each url once; links to pages that are not there lead nowhere. The frontier is a table: a round
+    joins it to the pages, takes its links and its next pages, and leaves out pages already seen, so that lists that lead
+    back end. A detail page linked several times is read once.
+    """
+    frontier, seen = cut(start.select("url").distinct()), start.select("url").distinct()
+    links: DataFrame | None = None
+    while frontier.take(1):
+        listed = pages.join(frontier, "url").select("url", "html")
+        found = cut(extract(listed, list_links))
+        own = found.select(F.explode("enlaces").alias("url"))
+        links = own if links is None else links.unionByName(own)
+        frontier = cut(found.where("siguiente is not null").select(F.col("siguiente").alias("url")).distinct().join(seen, "url", "left_anti"))
+        seen = cut(seen.unionByName(frontier))
+    if links is None:
+        links = start.select("url").limit(0)
+    return extract(pages.join(links.distinct(), "url"), kind)
+
+
 def _columns(schema: str) -> list[str]:
     out, depth, at = [], 0, ""
     for c in schema:

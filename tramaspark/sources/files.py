@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,44 +36,62 @@ class BadSource(ValueError):
     """A source file of the wrong shape."""
 
 
-def checked(path: Path) -> list[str]:
+def checked(name: str, text: str) -> list[str]:
     """The tables a source file has; BadSource if it is no object of lists of objects under known keys."""
-    data = json.loads(path.read_text("utf-8"))
+    data = json.loads(text)
     if not isinstance(data, dict):
-        raise BadSource(f"{path}: not a JSON object")
+        raise BadSource(f"{name}: not a JSON object")
     for key, rows in data.items():
         if key in ABOUT or (key in TABLES and rows is None):
             continue
         if key not in TABLES:
-            raise BadSource(f"{path}: unknown key {key}; known are {', '.join(sorted(TABLES))}")
+            raise BadSource(f"{name}: unknown key {key}; known are {', '.join(sorted(TABLES))}")
         if not isinstance(rows, list) or not all(isinstance(r, dict) for r in rows):
-            raise BadSource(f"{path}: {key} is no list of objects")
+            raise BadSource(f"{name}: {key} is no list of objects")
     return [k for k, v in data.items() if k in TABLES and v]
 
 
+def _listed(spark: SparkSession, folder: str) -> list[str]:
+    """The JSON files of a folder of any file system, in the order of their names; none if there is no such folder."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(f"{folder}/*.json")
+    found = where.getFileSystem(conf).globStatus(where) or []
+    return sorted((f.getPath().toString() for f in found if f.getPath().getName() not in BUILT), key=lambda p: p.rsplit("/", 1)[1])
+
+
 def direct_sources(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], list[str]]:
     """The tables of all source files in a folder, in the order of their names, and the files read.
 
-    Rows keep the file's rank and their position (_file, _pos), by which the last write wins. A missing folder has none.
+    Files are checked where they are read, by executors; the driver learns which tables each has. Rows keep the file's
+    rank and their position (_file, _pos), by which the last write wins. A missing folder has none.
     """
-    tables, read = empty_tables(spark), []
-    here = Path(folder)
-    parts: dict[str, list[DataFrame]] = {}
-    for rank, path in enumerate(sorted(here.glob("*.json")) if here.is_dir() else []):
-        if path.name in BUILT:
-            continue
-        names = checked(path)
-        read.append(path.name)
-        for name in names:
-            raw = spark.read.schema(f"{name} array<struct<{_struct(TABLES[name])}>>").json(str(path), multiLine=True)
-            one = raw.select(F.posexplode(name).alias("_pos", "r")).select("r.*", F.lit(rank).alias("_file"), "_pos")
-            parts.setdefault(name, []).append(one)
-    for name, found in parts.items():
-        whole = found[0]
-        for f in found[1:]:
-            whole = whole.unionByName(f)
-        tables[name] = whole
-    return tables, read
+    tables, paths = empty_tables(spark), _listed(spark, folder)
+    if not paths:
+        return tables, []
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for path, text in zip(pdf["path"], pdf["value"], strict=True):
+                name = path.rsplit("/", 1)[1]
+                try:
+                    out.append((name, ",".join(checked(name, text)), None))
+                except ValueError as e:
+                    out.append((name, None, str(e)))
+            yield pd.DataFrame(out, columns=["name", "has", "error"])
+
+    texts = spark.read.text(paths, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
+    said = {r["name"]: r for r in texts.mapInPandas(check, "name string, has string, error string").collect()}
+    names = [p.rsplit("/", 1)[1] for p in paths]
+    if bad := [said[n]["error"] for n in names if said[n]["error"]]:
+        raise BadSource("; ".join(bad))
+    rank = F.create_map(*[F.lit(x) for k, n in enumerate(names) for x in (n, k)])
+    for table in TABLES:
+        having = [p for p, n in zip(paths, names, strict=True) if table in said[n]["has"].split(",")]
+        if having:
+            raw = spark.read.schema(f"{table} array<struct<{_struct(TABLES[table])}>>").json(having, multiLine=True).select(table, F.col("_metadata.file_name").alias("f"))
+            tables[table] = raw.select(F.posexplode(table).alias("_pos", "r"), "f").select("r.*", F.element_at(rank, F.col("f")).alias("_file"), "_pos")
+    return tables, names
 
 
 def _struct(schema: str) -> str:
@@ -96,3 +115,16 @@ def catalog(raw: DataFrame) -> DataFrame:
 def write_records(df: DataFrame, path: str) -> None:
     """One JSON object a line; a later run replaces the folder."""
     df.write.mode("overwrite").json(path)
+
+
+def write_arrays(df: DataFrame, path: str) -> None:
+    """JSON files that are one array of records each, one per partition, written line by line; a later run replaces them."""
+
+    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        before = "["
+        for pdf in batches:
+            yield pd.DataFrame({"value": [(before if k == 0 else ",") + x for k, x in enumerate(pdf["value"])]})
+            before = "," if len(pdf) or before == "," else "["
+        yield pd.DataFrame({"value": ["]" if before == "," else "[]"]})
+
+    df.select(F.to_json(F.struct(*df.columns)).alias("value")).mapInPandas(lines, "value string").write.mode("overwrite").text(path)
