@@ -56,8 +56,26 @@ def test_csv_and_json(spark, tmp_path):
     (tmp_path / "s.csv").write_bytes("PROVINCIA;LOCALIDAD;CEM - CCD - EP;LUGAR DE HALLAZGO;HOJA DE REFERENCIA;Lat;Long;Suma de CASOS;a;b;c;d;e\nCórdoba;X;CEM;;;-3,45376E+15;-64.1;3;;;;;\n".encode("latin-1"))
     (r,) = files.sites_csv(spark, str(tmp_path / "s.csv"), "ISO-8859-1").collect()
     assert (r.PROVINCIA, r.Lat, r["Suma de CASOS"]) == ("Córdoba", "-3,45376E+15", 3)
-    files.write_records(spark.range(2), str(tmp_path / "o"))
-    assert files.read_records(spark, str(tmp_path / "o"), "id long").count() == 2
+    files.write_records(spark.range(5).coalesce(1), str(tmp_path / "o"))
+    assert files.read_records(spark, str(tmp_path / "o"), "id long", lines=True).count() == 5
+    files.write_arrays(spark.range(7).repartition(3), str(tmp_path / "p"))
+    assert sorted(r.id for r in files.read_records(spark, str(tmp_path / "p"), "id long").collect()) == list(range(7))
+    files.write_arrays(spark.range(0), str(tmp_path / "q"))
+    assert files.read_records(spark, str(tmp_path / "q"), "id long").count() == 0
+
+
+def test_lists_are_followed_to_their_details(spark):
+    more = lambda *ids: "".join(f'<a class="{P}link-btn-ver-mas" href="/v/{i}">Ver más</a>' for i in ids)
+    detail = lambda n: f'<article class="victima"><h1>{n}</h1></article>'
+    base = "https://h.example"
+    rows = [
+        (f"{base}/l?p=1", more(1, 2, 1) + '<a class="next" href="/l?p=2">'), (f"{base}/l?p=2", more(2, 9) + '<a class="next" href="/l?p=1">'), (f"{base}/l?p=3", more(3)),
+        (f"{base}/v/1", detail("Uno")), (f"{base}/v/2", detail("Dos")), (f"{base}/v/3", detail("Tres")), (None, None),
+    ]
+    pages = spark.createDataFrame(rows, "url string, html string")
+    start = spark.createDataFrame([(f"{base}/l?p=1",)], "url string")
+    assert sorted(r.nombre for r in html.crawl(pages, start, html.victim).collect()) == ["Dos", "Uno"]
+    assert html.crawl(pages, start.limit(0), html.victim).count() == 0
 
 
 def test_paging():

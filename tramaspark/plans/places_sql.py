@@ -261,4 +261,13 @@ SQL |= {
     "ref_p8_key_parts": """WITH k AS (SELECT DISTINCT unnest([child_key, parent_key, lugar_key, direccion_ccd_key]) AS clave FROM jerarquias), c AS (SELECT clave, string_split(clave, '|')[1] AS core FROM k WHERE clave <> ''),
         q AS (SELECT clave, core, string_split(core, ':') AS t FROM c), n AS (SELECT clave, CASE WHEN len(t) >= 3 THEN upper(t[2]) ELSE 'INDETERMINADO' END AS kind, CASE WHEN len(t) >= 3 THEN upper(replace(array_to_string(t[3:], ':'), '_', ' ')) ELSE upper(core) END AS name FROM q)
         SELECT clave, name AS nombre, kind AS "tipoGeopolitico", CASE WHEN kind = 'PAIS' AND name <> 'ARGENTINA' THEN 'XX' ELSE 'AR' END AS pais_code FROM n""",
+    "ref_j13_scope_pairs": f"""WITH {R.EAA}, p AS (SELECT DISTINCT 'lugar:CIUDAD:' || {slug(place('LOCALIDAD'))} || '|' || {R.geo('PROVINCIA')} AS k, {place('LOCALIDAD')} AS n, {R.geo('PROVINCIA')} AS scope FROM eaa WHERE {place('LOCALIDAD')} <> '' AND PROVINCIA IS NOT NULL),
+        w AS (SELECT k, n, scope, string_split(n, ' ') AS t FROM p), x AS (SELECT a.k AS ka, a.n AS na, b.k AS kb, b.n AS nb, list_filter(range(1, len(a.t) + 1), lambda i: a.t[i] <> b.t[i]) AS d, a.t AS ta, b.t AS tb FROM w a JOIN w b ON a.scope = b.scope AND len(a.t) = len(b.t) AND a.k < b.k)
+        SELECT ka AS lugar_key_a, na AS nombre_a, kb AS lugar_key_b, nb AS nombre_b FROM x WHERE len(d) = 1 AND list_has_any(list_transform(range(1, greatest(length(ta[d[1]]) - 1, 1) + 1), lambda i: substr(ta[d[1]], i, 2)), list_transform(range(1, greatest(length(tb[d[1]]) - 1, 1) + 1), lambda i: substr(tb[d[1]], i, 2)))""",
 }
+CENTRE_TEXTS = f'txt AS (SELECT lugar_key, 0 AS k, ubicacion AS raw FROM cec WHERE ubicacion IS NOT NULL UNION ALL SELECT lugar_key, 1, nombre FROM cec WHERE nombre IS NOT NULL), "both" AS (SELECT raw FROM typed UNION SELECT raw FROM txt)'
+SQL["ref_p11_anclas"] = (
+    f"WITH {DET}, {TYPED}, {R.CCD}, {R.REF}, {R.CEN.replace('cen AS', 'cec AS', 1)}, {CENTRE_TEXTS}, " + aliases('"both"') + ", " + placed(True).replace("res AS MATERIALIZED", "every AS MATERIALIZED")
+    + f""", res AS (SELECT * FROM every WHERE raw IN (SELECT raw FROM typed)), {PLACES}, tries AS (SELECT txt.lugar_key AS c, txt.k * 2 AS o, e.lugar_key AS t FROM txt JOIN every e ON e.raw = txt.raw WHERE e.tipo <> 'INDETERMINADO' UNION ALL SELECT txt.lugar_key, txt.k * 2 + 1, e.parent_key FROM txt JOIN every e ON e.raw = txt.raw)
+    SELECT c AS child_key, arg_min(t, o) AS parent_key FROM tries WHERE t IN (SELECT lugar_key FROM lug) GROUP BY c HAVING c <> arg_min(t, o)"""
+)

@@ -58,7 +58,7 @@ def pregnancies(s: SparkSession, d: str) -> DataFrame:
 
 def centre_coordinates(s: SparkSession, d: str) -> DataFrame:
     c = latest(table(s, d, "ccds"), "id_ccd", "actualizado_en", ["lat", "lon"])
-    return c.select("id_ccd", (dates.coordinates(F.col("lat"), F.col("lon")) != "DESCONOCIDAS").alias("conocidas"), dates.to_float(F.col("lat")).alias("lat"))
+    return c.select("id_ccd", dates.coordinates(F.col("lat"), F.col("lon")).alias("coordenadas"), (dates.coordinates(F.col("lat"), F.col("lon")) != "DESCONOCIDAS").alias("conocidas"), dates.to_float(F.col("lat")).alias("lat"))
 
 
 def relation_kinds(s: SparkSession, d: str) -> DataFrame:

@@ -138,7 +138,7 @@ SQL: dict[str, str] = {
         WHEN w = 'abuela materna' THEN 'ABUELA_MATERNA' WHEN w = 'abuela paterna' THEN 'ABUELA_PATERNA' WHEN w IN ('hijo', 'hija') THEN 'HIJO' WHEN w IN ('esposo', 'esposa', 'conyuge', 'pareja', 'ex esposo', 'ex esposa', 'companero', 'companera', 'novio', 'novia') THEN 'PAREJA' ELSE 'OTRA' END AS tipo FROM t""",
     "ref_f14_geo_name": function("Lugar de nacimiento", geo("@")),
     "ref_f15_place_text": function("Lugar de nacimiento", place("@")),
-    "ref_f16_coordinates": f"WITH {newest('c', 'ccds', 'id_ccd', 'actualizado_en')} SELECT id_ccd, lat IS NOT NULL AND lon IS NOT NULL AS conocidas, lat FROM c",
+    "ref_f16_coordinates": f"WITH {newest('c', 'ccds', 'id_ccd', 'actualizado_en')} SELECT id_ccd, CASE WHEN lat IS NOT NULL AND lon IS NOT NULL THEN lat || ',' || lon ELSE 'DESCONOCIDAS' END AS coordenadas, lat IS NOT NULL AND lon IS NOT NULL AS conocidas, lat FROM c",
     "ref_f17_scoped_key": function("nombre_completo", "substr(sha1(concat_ws('|', @, 'x')), 1, 20)"),
     "ref_j14_name_tokens": function("nombre_completo", tokens("@")),
     "ref_h7_label_key": f"WITH {VIC} SELECT replace(lower(trim(replace(e, ':', ''))), ' ', '_') AS clave, count(*) AS n FROM (SELECT unnest(map_keys(datos_personales)) e FROM vic) GROUP BY 1",

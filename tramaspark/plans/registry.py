@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import place_queries, places_sql, reference, reference_sql, training, training_sql
+from . import place_queries, places_sql, reference, reference_sql, source_queries, source_sql, training, training_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": training.p1_found,
@@ -17,5 +17,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_found": training.p7_found,
     **reference.QUERIES,
     **place_queries.QUERIES,
+    **source_queries.QUERIES,
 }
-SQL: dict[str, str] = training_sql.SQL | reference_sql.SQL | places_sql.SQL
+SQL: dict[str, str] = training_sql.SQL | reference_sql.SQL | places_sql.SQL | source_sql.SQL

@@ -23,9 +23,9 @@ BUILT = {"ccds.json", "nietos_y_nietas.json", "parque_de_la_memoria.json", "list
 SITES = "PROVINCIA string, LOCALIDAD string, `CEM - CCD - EP` string, `LUGAR DE HALLAZGO` string, `HOJA DE REFERENCIA` string, Lat string, Long string, `Suma de CASOS` int, `Suma de EXHUMADOS` int, `Suma de ID CON CUERPO` int, `Suma de ID SIN CUERPO` int, `Suma de ID` int, `Suma de NO ID` int"
 
 
-def read_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A JSON file that is one array of records (or one record)."""
-    return spark.read.schema(schema).json(path, multiLine=True)
+def read_records(spark: SparkSession, path: str, schema: str, lines: bool = False) -> DataFrame:
+    """A JSON file that is one array of records (or one record); with lines, one record a line, as write_records writes it."""
+    return spark.read.schema(schema).json(path, multiLine=not lines)
 
 
 def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:
@@ -99,8 +99,8 @@ def _struct(schema: str) -> str:
 
 
 def sites_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """The semicolon table of exhumation sites; coordinates stay text, for some are corrupt."""
-    return spark.read.schema(SITES).option("sep", ";").option("header", True).option("encoding", encoding).csv(path)
+    """The semicolon table of exhumation sites; coordinates stay text, for some are corrupt. An empty field is null."""
+    return spark.read.schema(SITES).option("sep", ";").option("header", True).option("encoding", encoding).option("escape", '"').csv(path)
 
 
 def catalog(raw: DataFrame) -> DataFrame:
