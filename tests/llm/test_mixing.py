@@ -1,7 +1,7 @@
 from tramaspark.llm.mixing import mix, mix_report
 
 
-def test_shares_caps_and_repeats(spark):
+def test_shares_caps_and_repeats(spark, monkeypatch):
     counts = spark.createDataFrame([(i, "a" if i % 10 else "b", i, 100) for i in range(4000)] + [(9000, None, 1, 100), (9001, "c", 1, 0)], "doc_id long, source string, cluster long, n_tokens long")
     targets = spark.createDataFrame(
         [("m", "a", 0.5, 1, 0.5), ("m", "b", 0.4, 3, 0.5), ("m", "zz", 0.1, 2, 0.5), ("x", "b", 1.0, 2, 1.0), (None, "a", 1.0, 1, 1.0), ("m", None, 0.1, 1, 0.5)],
@@ -13,6 +13,9 @@ def test_shares_caps_and_repeats(spark):
     assert {r.source for r in drawn} == {"a", "b"}
     again = mix(counts.repartition(7), targets).collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, drawn))
+    with monkeypatch.context() as m:
+        m.setattr("tramaspark.llm.mixing.MOST_TARGETS", 0)
+        assert sorted(map(tuple, mix(counts, targets).collect())) == sorted(map(tuple, drawn))
     got = {(r.mezcla_id, r.source): r for r in mix_report(mix(counts, targets), counts, targets).collect()}
     assert abs(got["m", "a"].obtenido / got["m", "a"].objetivo - 1) < 0.05
     assert abs(got["m", "b"].obtenido / got["m", "b"].objetivo - 1) < 0.05

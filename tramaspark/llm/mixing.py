@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 SEED = 20
 MOST_TARGETS = 10_000
+SALTS = 64
 
 
 def rates(counts: DataFrame, targets: DataFrame) -> DataFrame:
@@ -37,10 +38,13 @@ def mix(counts: DataFrame, targets: DataFrame, seed: int = SEED) -> DataFrame:
     A document is used floor(rate) times, and once more with probability rate - floor(rate), decided by a hash of
     (doc_id, mezcla_id, seed): the same in every run and on any number of executors. Nothing of the documents is
     shuffled after the sums per source: the rates are a few rows, and their number is checked before they are broadcast.
+    More than MOST_TARGETS of them are joined by a shuffle in which a source's documents are spread over SALTS tasks.
     """
     r = rates(counts, targets).where("tasa > 0").select("mezcla_id", "source", "tasa")
     if targets.count() > MOST_TARGETS:
-        joined = counts.join(r, "source")
+        salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt")
+        spread = r.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        joined = counts.select("*", salt).join(spread, ["source", "salt"])
     else:
         joined = counts.join(F.broadcast(r), "source")
     draw = F.pmod(F.xxhash64("doc_id", "mezcla_id", F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))

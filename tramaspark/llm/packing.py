@@ -138,7 +138,7 @@ def fill_report(packed: DataFrame, containers: DataFrame) -> DataFrame:
     bins = packed.groupBy("contenedor", "caja").agg(F.sum("n_tokens").alias("n"))
     sums = bins.groupBy("contenedor").agg(F.count("*").alias("cajas"), F.sum("n").alias("n_tokens"))
     room = containers.groupBy("contenedor").agg(F.max("capacidad_tokens").alias("c"))
-    return sums.join(F.broadcast(room.limit(1000)), "contenedor").select(
+    return sums.join(room, "contenedor").select(
         "contenedor", "cajas", "n_tokens", (F.col("n_tokens") / (F.col("cajas") * F.col("c"))).alias("llenado")
     )
 

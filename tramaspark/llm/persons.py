@@ -12,6 +12,7 @@ import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate
 
 from ..functions.names import folded, jaro_winkler, mended, osa, unscanned
 
@@ -190,12 +191,18 @@ def _reading(given: list[Word], family: list[Word]) -> Name:
     return Name(tuple(x for w in given for x in (w.as_given() if len(w.text) > 1 else [w.text])), tuple(w.text for w in family))
 
 
-def _cost(given: list[Word], family: list[Word], given_first: bool) -> float:
-    """How odd it would be if these were the given and these the family words."""
-    out = sum(2.0 for w in given if len(w.text) > 1 and not w.near) + sum(2.0 for w in family if w.listed)
-    # an initial goes with the word before it, and a person has two family names at most as a rule
-    after = family if given_first else given
-    return out + (len(after[0].text) == 1) + 1.5 * max(0, len(family) - 2)
+def _costs(words: list[Word]) -> list[float]:
+    """How odd each split would be: first those with k = 1, 2, ... given words before the family, then those with k family words before them.
+
+    Odd is a word of several letters among the given ones that is near no listed name, and a listed one among the family
+    names; an initial that does not go with the word before it; and more than two family names.
+    """
+    n = len(words)
+    as_given = [0.0, *accumulate(2.0 if len(w.text) > 1 and not w.near else 0.0 for w in words)]
+    as_family = [0.0, *accumulate(2.0 if w.listed else 0.0 for w in words)]
+    initial = [len(w.text) == 1 for w in words]
+    first = [as_given[k] + as_family[n] - as_family[k] + initial[k] + 1.5 * max(0, n - k - 2) for k in range(1, n)]
+    return first + [as_family[k] + as_given[n] - as_given[k] + initial[k] + 1.5 * max(0, k - 2) for k in range(1, n)]
 
 
 def readings(text: str | None) -> list[Name]:
@@ -212,14 +219,12 @@ def readings(text: str | None) -> list[Name]:
         return [_reading([w for w in words if w.side], [w for w in words if not w.side])]
     if len(words) == 1:
         return [_reading([], words)]
-    splits = [(words[:k], words[k:], True) for k in range(1, len(words))] + [(words[k:], words[:k], False) for k in range(1, len(words))]
-    if len(words) > MANY_WORDS:
-        return [_reading(*min(splits, key=lambda s: _cost(*s))[:2])]
-    if not any(w.near or len(w.text) == 1 for w in words):
-        return list({n.form: n for n in (_reading(g, f) for g, f, _ in splits)}.values())
-    costs = [_cost(*s) for s in splits]
-    best = min(costs)
-    return list({n.form: n for n in (_reading(g, f) for (g, f, _), c in zip(splits, costs, strict=True) if c <= best)}.values())
+    splits = [(words[:k], words[k:]) for k in range(1, len(words))] + [(words[k:], words[:k]) for k in range(1, len(words))]
+    if any(w.near or len(w.text) == 1 for w in words) or len(words) > MANY_WORDS:
+        costs = _costs(words)
+        best = min(costs)
+        splits = [s for s, c in zip(splits, costs, strict=True) if c <= best][: 1 if len(words) > MANY_WORDS else None]
+    return list({n.form: n for n in (_reading(g, f) for g, f in splits)}.values())
 
 
 def parse(text: str | None) -> str | None:
