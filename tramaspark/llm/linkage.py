@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from ..functions.names import folded, mended, osa, unscanned
 from ..runtime import discard, lookup, stored
 from .partial_dates import date_evidence, month, partial_date
-from .persons import best_readings, code, from_form, givens, parse
+from .persons import LONG_CODE, best_readings, code, from_form, givens, parse
 
-#: Scores in units of evidence: a pair is accepted from ACCEPT on; one below SURE must also have no rival as good.
+#: Scores in units of evidence: a pair is accepted from ACCEPT on; one below SURE must also have no rival nearly as good.
 ACCEPT = 4.0
 SURE = 10.0
 RIVAL = 1.5
@@ -77,11 +77,13 @@ def keys(a: dict) -> set[str]:
     for name in from_form(a["form"]):
         if not name.family:
             continue
-        first = code(name.family[0])
-        second = code(name.family[1]) if len(name.family) > 1 and len(name.family[1]) > 1 else None
+        first = code(name.family[0])[:LONG_CODE]
+        second = code(name.family[1])[:LONG_CODE] if len(name.family) > 1 and len(name.family[1]) > 1 else None
         given = sorted({n for g in name.given for n in (givens(g) or [g]) if len(n) > 1})
         out |= {f"f:{first}:{second}"} if second else set()
-        out |= {f"g:{first}:{g}" for g in given}
+        # a slip in the first family name leaves the second one, or the first one's other sounds
+        out |= {f"h:{second}:{g}" for g in given} if second else set()
+        out |= {f"d:{v}:{g}" for g in given for v in (first, *(first[:k] + first[k + 1 :] for k in range(len(first)))) if len(v) > 1}
         for y, m, d in a["births"]:
             if m and d:
                 out |= {f"b:{g}:{y}-{min(m, d)}-{max(m, d)}" for g in given} | {f"s:{c}:{y}-{min(m, d)}-{max(m, d)}" for c in (first, second) if c}
@@ -229,7 +231,8 @@ def propagated(edges: DataFrame) -> DataFrame:
 def decided(edges: DataFrame) -> DataFrame:
     """(clave_a, clave_b, confianza) of the accepted pairs.
 
-    A pair below SURE is accepted only if neither end has another partner in the same table that is nearly as good.
+    A pair below SURE is accepted only if neither end has another partner in the same table that is nearly as good. From
+    SURE on it is accepted whatever its rivals are: one person may have several records in a table.
     """
     ends = edges.select(F.col("a").alias("x"), F.col("tb").alias("t"), F.col("b").alias("y"), "score").unionByName(
         edges.select(F.col("b").alias("x"), F.col("ta").alias("t"), F.col("a").alias("y"), "score")
@@ -241,8 +244,7 @@ def decided(edges: DataFrame) -> DataFrame:
     both = edges.join(at("a", "tb", "a"), ["a", "tb"]).join(at("b", "ta", "b"), ["b", "ta"])
     lead = lambda p: F.col("score") - F.when(F.col("score") >= F.col(f"best_{p}"), F.col(f"next_{p}")).otherwise(F.col(f"best_{p}"))
     clear = (lead("a") >= RIVAL) & (lead("b") >= RIVAL)
-    near = (F.col("score") >= F.col("best_a") - 2 * RIVAL) & (F.col("score") >= F.col("best_b") - 2 * RIVAL)
-    kept = both.where((F.col("score") >= ACCEPT) & (clear | ((F.col("score") >= SURE) & near)))
+    kept = both.where((F.col("score") >= ACCEPT) & (clear | (F.col("score") >= SURE)))
     confidence = 1 / (1 + F.exp(-(F.col("score") - F.lit(ACCEPT - 1)) / 2))
     return kept.select(F.least("a", "b").alias("clave_a"), F.greatest("a", "b").alias("clave_b"), confidence.alias("confianza"))
 
