@@ -91,11 +91,16 @@ def test_paging():
 
 def test_stream_upserts(spark, tmp_path):
     source, out = tmp_path / "in", str(tmp_path / "out")
-    row = lambda k, t, v: spark.createDataFrame([(k, t, v)], "id long, t string, v string").withColumn("t", F.to_timestamp("t"))
-    row(1, "2020-01-02", "new").write.parquet(str(source / "1"))
+    source.mkdir()
+    rows = lambda *r: spark.createDataFrame([*r], "id long, t string, v string").withColumn("t", F.to_timestamp("t"))
     stream = spark.readStream.schema("id long, t timestamp, v string").option("recursiveFileLookup", True).parquet(str(source))
-    for k, one in enumerate((row(1, "2020-01-01", "old"), row(2, "2020-01-01", "other"))):
-        one.write.mode("append").parquet(str(source / str(k + 2)))
-        q = into_table(stream, out, str(tmp_path / "c"), "id", "t").trigger(availableNow=True).start()
-        q.awaitTermination()
-    assert sorted((r.id, r.v) for r in current(spark, out).collect()) == [(1, "new"), (2, "other")]
+    batches = [
+        rows((1, "2020-01-02", "new"), (None, "2020-01-02", "nobody")), rows((1, "2020-01-01", "old"), (2, "2020-01-01", "other")),
+        rows((2, "2019-01-01", "very late"), (3, None, "no time")), rows((1, "2021-01-01", "newest")), rows((1, "2021-01-01", "newest")),
+    ]
+    for k, one in enumerate(batches):
+        one.write.parquet(str(source / str(k)))
+        into_table(stream, out, str(tmp_path / "c"), "id", "t", buckets=4).trigger(availableNow=True).start().awaitTermination()
+    assert sorted((r.id, r.v) for r in current(spark, out).collect()) == [(1, "newest"), (2, "other"), (3, "no time")]
+    kept = [p.parent.parent.name for p in (tmp_path / "out").glob("v=*/bucket=*/*.parquet")]
+    assert len(kept) < 8 and current(spark, str(tmp_path / "none")) is None
