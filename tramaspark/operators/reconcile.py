@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.similarity import name_similarity
+from ..functions.similarity import SOFT, name_similarity
 from ..functions.text import name_tokens, slug
 from ..runtime import cut, lookup
 
 FUZZY, MOST_SLUGS = 0.96, 3
 #: A word that more names hold is worked as pairs of sub-blocks of so many.
 BLOCK = 1500
+#: Names of more words may miss one and still be alike enough.
+MOST_WORDS = 20
 
 
 def placeholders(kin: DataFrame) -> DataFrame:
@@ -40,7 +42,9 @@ def fuzzy_candidates(kin: DataFrame, persons: DataFrame, least: float = FUZZY, m
 
     Every pair that shares any word is a candidate, if the number of words differs by two at most and leaves room for a
     score of `least`: of the two coefficients that a score is the mean of, one cannot exceed that of the fewer words all
-    found among the more. A pair is made by the first word it shares only.
+    found among the more. A pair is made by the first word it shares only. Before a pair is scored in Python, the JVM drops
+    those that cannot reach `least`: of names of as many words, up to MOST_WORDS, every word needs a counterpart one slip
+    away, or one at least SOFT alike, whose edit distance is then at most 1 - SOFT of both lengths.
     """
     named = persons.where("persona_key is not null and nombre is not null").select(F.col("persona_key").alias("candidate_key"), slug(F.col("nombre")).alias("cslug"))
     slugs = named.select("cslug").distinct().withColumn("ct", name_tokens(F.col("cslug")))
@@ -55,7 +59,11 @@ def fuzzy_candidates(kin: DataFrame, persons: DataFrame, least: float = FUZZY, m
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = lookup(ours, split, "word", how="inner").select("word", "placeholder_key", "slug", "pt", own("placeholder_key", "pn").alias("x"), every("cn").alias("y"))
     right = lookup(theirs, split, "word", how="inner").select("word", "cslug", "ct", every("pn").alias("x"), own("cslug", "cn").alias("y"))
-    pairs = left.join(right, ["word", "x", "y"]).where(fits & (F.element_at(F.array_intersect("pt", "ct"), 1) == F.col("word")))
+    slips = lambda x, y: F.greatest(F.lit(1), F.floor((1 - SOFT) * (F.length(x) + F.length(y)) + 1e-9))
+    matched = F.forall(F.array_except("pt", "ct"), lambda x: F.exists("ct", lambda y: F.levenshtein(x, y) <= slips(x, y)))
+    may = matched if least > 1 - 1 / MOST_WORDS else F.lit(True)
+    may = F.when((F.size("pt") == F.size("ct")) & (F.size("pt") <= MOST_WORDS), may).otherwise(True)
+    pairs = left.join(right, ["word", "x", "y"]).where(fits & may & (F.element_at(F.array_intersect("pt", "ct"), 1) == F.col("word")))
     scored = pairs.select("placeholder_key", "slug", "cslug").withColumn("score", name_similarity("slug", "cslug")).where(F.col("score") >= least)
     best = scored.withColumn("k", F.row_number().over(Window.partitionBy("placeholder_key").orderBy(F.desc("score"), "cslug"))).where(F.col("k") <= most)
     return best.join(named, "cslug").select(
