@@ -75,11 +75,14 @@ def resolve_places(raw: DataFrame, gazetteer: DataFrame | None, min_score: float
     """
     column = raw.columns[0]
     texts = raw.select(F.col(f"`{column}`").alias("raw")).where("raw is not null").distinct().withColumn("text", clean_text(F.col("raw"))).where("text is not null")
-    whole = P.identity(place_text(F.col("text")))
+    # every step is a generator of one row, past which no filter is pushed: what it makes is worked out once
+    step = lambda df, name, made: df.select(*[c for c in df.columns if c != name], F.explode(F.array(made)).alias(name))
+    texts = step(texts, "n", P.identity(place_text(F.col("text"))))
     aside = P.identity(place_text(F.regexp_extract("text", r".*\(([^)]{4,})\)", 1)))
-    texts = texts.withColumn("n", whole).withColumn("n", F.when(F.col("n") != "", F.col("n")).otherwise(aside))
+    texts = step(texts, "n", F.when(F.col("n") != "", F.col("n")).otherwise(aside))
     texts = texts.where((F.col("n") != "") & ~F.col("n").isin(P.UNKNOWN))
-    texts = texts.withColumn("n", F.coalesce(P.institution_town(F.col("n")), "n")).withColumn("alias", P.repeated_tail(F.col("n"))).drop("n")
+    texts = step(texts, "n", F.coalesce(P.institution_town(F.col("n")), "n"))
+    texts = step(texts, "alias", P.repeated_tail(F.col("n"))).drop("n")
     texts = texts.where(~F.col("alias").isin("SU", "DE SU", "DE LA") & ~P.only_address(F.col("alias")))
     texts, _ = stored(texts)
     a = F.col("alias")
@@ -104,7 +107,8 @@ def resolve_places(raw: DataFrame, gazetteer: DataFrame | None, min_score: float
     else:
         capital, steps = F.when(hinted, named_caba), []
 
-    aliases = aliases.withColumn("x", P.abroad(a)).withColumn("e", P.exact_alias(a)).withColumn("p", P.province_ending(a))
+    for name, made in (("x", P.abroad(a)), ("e", P.exact_alias(a)), ("p", P.province_ending(a))):
+        aliases = step(aliases, name, made)
     exact = F.when(F.col("e").isNotNull(), _place("CIUDAD", F.col("e.city"), F.when(F.col("e.province").isNotNull(), _province(F.col("e.province")))))
     alone = F.col("x.city").isNull()
     country = F.when(~alone, P.place_key("PAIS", F.col("x.country")))
@@ -113,7 +117,7 @@ def resolve_places(raw: DataFrame, gazetteer: DataFrame | None, min_score: float
     default = F.when(P.may_be_buenos_aires(a), _place("CIUDAD", a, _province(F.lit("BUENOS AIRES"))))
     unknown = _place("INDETERMINADO", a, null)
 
-    placed = aliases.select("alias", F.coalesce(exact, capital, away, *steps, named_caba, ending, default, unknown).alias("p")).select("alias", "p.*")
+    placed = step(aliases.drop("out"), "out", F.coalesce(exact, capital, away, *steps, named_caba, ending, default, unknown)).select("alias", "out.*")
     keyed = placed.withColumn("lugar_key", P.place_key(F.col("tipo"), F.col("nombre"), F.col("parent_key")))
     chain = F.when(F.col("pais_code").isNotNull(), F.array_compact(F.array("lugar_key", "parent_key")))
     out = lookup(texts, keyed.withColumn("hierarchy_keys", F.coalesce("hierarchy_keys", chain)), "alias", rows=texts.count())

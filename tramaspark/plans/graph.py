@@ -202,7 +202,7 @@ def place_layer(spark: SparkSession, d: str, options: Options | None = None) ->
     gaz = cut(gazetteer.from_table(table(spark, d, "georef_localidades"))) if options.use_gazetteer else None
     typed = cut(typed_places(spark, d))
     placed = cut(resolve_places(typed.select("raw"), gaz, options.min_score, options.ambiguity))
-    rows = cut(lookup(typed, placed, "raw", how="inner"))
+    rows = cut(lookup(typed, placed, "raw", how="inner", rows=typed.count()))
     chain = F.coalesce(F.when(F.size("hierarchy_keys") > 1, F.col("hierarchy_keys")), F.when(F.col("parent_key").isNotNull(), F.array_distinct(F.array("lugar_key", "parent_key", F.lit(P.COUNTRY)))))
     chains = placed.select("lugar_key", chain.alias("chain"))
     parents = chains.where("size(chain) > 1").select(F.explode(chain_edges(F.col("chain"))).alias("e")).select("e.child_key", "e.parent_key").distinct()
