@@ -162,3 +162,15 @@ def test_long_names_join_fuller_ones(spark):
     together = ["juan alberto raul|zorbalente quimeral", "juan alberto|zorbalente quimeral", "juan alberto raul|zorbalente"]
     got = clusters(spark.createDataFrame([(f,) for f in together], "form string")).collect()
     assert {r.form for r in got} == set(together) and len({r.group_key for r in got}) == 1
+
+
+def test_a_slip_in_the_first_family_name_keeps_the_candidate(spark):
+    cols = ["clave", "tabla", "nombre", "nacimiento", "lugar", "secuestro", "lugar_secuestro", "ocupacion", "nota", "anio", "mes", "dia"]
+    row = lambda key, name, born=None, taken=None: (key, key[0], name, born, None, taken, *[None] * 6)
+    rows = [
+        row("d:1", "Oscar Ramon Bonrexona Hurtobrasco"), row("v:1", "Oscar Ramon Borexona Hurtobrasco"), row("d:2", "Ignacio Juan Jargoldueta", "1930-07-20"), row("v:2", "Ignacio Juan Jaroldueta", "1930"),
+        row("d:3", "Ana Silva Ramos", "1950-03-04", "1977-05-06"), row("v:3", "Ana Silva Ramos", "1950-03-04", "1977-05-06"), row("v:4", "Ana Silva Ramos", "04/03/1950"), row("d:5", "Juan Sosa", "1950-03-04"), row("v:5", "Sosa Juan", "1950-03-04"),
+    ]
+    schema = ", ".join(f"{c} {'int' if c in ('anio', 'dia') else 'string'}" for c in cols)
+    got = {(r.clave_a, r.clave_b) for r in K.link(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {("d:1", "v:1"), ("d:2", "v:2"), ("d:3", "v:3"), ("d:3", "v:4"), ("d:5", "v:5")}
