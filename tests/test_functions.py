@@ -77,3 +77,19 @@ def test_strip_accents_against_unicode(spark):
     values = ["Ñandú ª º ü Ç ø ﬁ ½", "São João", "Ångström", None]
     got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v string").select(text.strip_accents(F.col("v"))).collect()]
     assert got == [v and "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c)) for v in values]
+
+
+def test_places_abroad_and_addresses(spark):
+    typed = ["SANTIAGO DE CHILE", "CHILE", "VALDIVIA CHILE", "DE CHILE", "A B C D E F G CHILE", "CABA CHILE", "CORDOBA", "PARIS FRANCIA"]
+    df = spark.createDataFrame([(t,) for t in typed], "t string").select("t", places.abroad(F.col("t")).alias("x"))
+    got = {r.t: tuple(r.x) if r.x else None for r in df.collect()}
+    assert got == {
+        "SANTIAGO DE CHILE": ("SANTIAGO", "CHILE", "CL"), "CHILE": (None, "CHILE", "CL"), "VALDIVIA CHILE": ("VALDIVIA", "CHILE", "CL"), "DE CHILE": None, "A B C D E F G CHILE": None, "CABA CHILE": None,
+        "CORDOBA": None, "PARIS FRANCIA": ("PARIS", "FRANCIA", "FR"),
+    }
+    raw = ["Calle Sarmiento 123, Castelar", "En la vía pública Rivadavia y Medrano", "Comisaría 1 de Morón", "Se desconoce", "Rivadavia 4500", None, "", "12"]
+    df = spark.createDataFrame([(t,) for t in raw], "t string").select("t", places.street_address(F.col("t")).alias("x"))
+    got = {r.t: (r.x.direccion_norm, r.x.via, r.x.numero, r.x.confianza) if r.x else None for r in df.collect()}
+    assert got["Calle Sarmiento 123, Castelar"] == ("CALLE SARMIENTO 123", "CALLE", "123", 0.95) and got["Rivadavia 4500"] == ("RIVADAVIA 4500", None, "4500", 0.85)
+    assert got["En la vía pública Rivadavia y Medrano"][3] == 0.65
+    assert [got[t] for t in ("Comisaría 1 de Morón", "Se desconoce", None, "", "12")] == [None] * 5

@@ -92,3 +92,22 @@ def test_place_merges_are_stars(spark):
     counts = spark.createDataFrame([("k1", 5)], "lugar_key string, n int")
     assert {(r.source_key, r.target_key) for r in merges(p, counts).collect()} == {("k0", "k1"), ("k2", "k1")}
     assert merges(p.limit(0), counts).count() == 0
+
+
+def test_provinces_are_found_by_containment(spark):
+    from tramaspark.operators.gazetteer import provinces_said
+
+    names = ["CORDOBA", "TIERRA DEL FUEGO ANTARTIDA E ISLAS DEL ATLANTICO SUR", "RIO", "SANTA FE", "LA PAMPA"]
+    gaz = spark.createDataFrame([(n, "PROVINCIA", n) for n in names] + [("MORON", "LOCALIDAD", "CORDOBA")], "name string, level string, province string")
+    typed = ["USHUAIA TIERRA DEL FUEGO ANTARTIDA E ISLAS DEL ATLANTICO SUR", "CORDOBA Y SANTA FE", "CORDOBAN", "RIO", "MORON", "PAMPA LA PAMPA", ""]
+    aliases = spark.createDataFrame([(t,) for t in [*typed, typed[0]]], "alias string")
+    want = {(t, n) for t in typed for n in names if len(n) >= 4 and f" {n} " in f" {t} "}
+    got = provinces_said(aliases, gaz).collect()
+    assert {(r.alias, r.province) for r in got} == want and len(got) == len(want) == 4
+    assert provinces_said(aliases.limit(0), gaz).count() == 0 and provinces_said(aliases, gaz.limit(0)).count() == 0
+
+
+def test_values_outside_their_domain(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", None), ("c", "z")], "k string, t string")
+    got = {(r.regla, r.columna): r.filas for r in violations(df, "v", ["k"], ["t"], {"t": ["x", "y"]}).collect()}
+    assert got == {("existencia", "t"): 1, ("unicidad", "k"): 1, ("dominio", "t"): 1}
