@@ -88,3 +88,26 @@ def test_a_large_group_gives_all_its_pairs(spark, monkeypatch):
     got = [tuple(r) for r in V.linked_pairs(df).collect()]
     assert len(got) == len(want) and set(got) == want
     assert {(r.clave, r.group_key) for r in V.members(df).collect() if r.clave[0] == "v"} and V.members(df).count() == 32
+
+
+def test_large_blocks_try_only_couples_that_can_be_accepted():
+    from itertools import combinations
+
+    given_words = ["juan", "jose", "jorge", "julio", "jesus", "juancho", "juan carlos", "carlos juan", "j", "jarquilo", "pedro jose"]
+    family = ["zorbalente", "zorbalante", "zorbaleante", "zorblente", "sorbalente quimeral", "zorbalenet", "zarbilonte", "zrbalente", "zorbalene", "zrobalente"]
+    forms = [*(f"{g}|{f}" for g in given_words for f in family), "juan|zorbalente/zorbalente|juan"]
+    blocks: dict[str, list] = {}
+    for f in forms:
+        for key, kind in P.block_keys(P.from_form(f)):
+            blocks.setdefault(key, []).append((f, kind, P.from_form(f)))
+    tried = [(key, list(V.likely(key, rows))) for key, rows in blocks.items()]
+    every = {frozenset((a[0], b[0])) for rows in blocks.values() for a, b in combinations(rows, 2) if P.compare(a[2], b[2])[0]}
+    accepted = lambda found: {frozenset(p[:2]) for p in V._pairs(found)}
+    assert every == set().union(*(accepted(c) for _, c in tried))
+    halves = [V.likely(k, r[::2], r[1::2]) for k, r in blocks.items()] + [V.likely(k, h) for k, r in blocks.items() for h in (r[::2], r[1::2])]
+    assert every == set().union(*map(accepted, halves))
+    # one block of twenty given names, forty records each: only namesakes are tried
+    names = sorted(n for n in P.FAMILIAR if n[0] == "a")
+    rows = [(f, "f", P.from_form(f)) for k in range(40) for n in names for f in [f"{n}|zorbalente{'aeiou'[k % 5] * (k // 5)}"]]
+    few = sum(1 for _ in V.likely("f:a:srblnt", rows))
+    assert few <= len(rows) * 40 and few < len(rows) * (len(rows) - 1) / 2 / 5
