@@ -72,6 +72,23 @@ def test_fuzzy_candidates_share_any_word(spark, monkeypatch):
     assert found() == want
 
 
+def test_names_that_share_a_given_name_alone_make_no_pair():
+    from itertools import product
+
+    from tramaspark.functions.similarity import name_score
+    from tramaspark.operators.reconcile import FUZZY, block_keys
+
+    typed = ["juan carlos zorbalente", "juan quimeralentebal", "ana maria juan quimeral mortelagui", "este juan quimeral", "a1 juan", "juan", "uno dos tres cuatro cinco juan"]
+    slips = ["juan karlos sorbalente", "carlos juan zorvalenteb", "juan quimerlentebla", "ana mria juan quimeral mortelague", "oeste juan quimeral", "este juan quimerall", "a2 juan", "uno dos tres cuatro juan", "ana maria juan mortelagui qumeral"]
+    keys = {n: [block_keys(sorted(n.split()), FUZZY, side) for side in (True, False)] for n in typed + slips}
+    for a, b in product(keys, keys):
+        if a != b and set(a.split()) & set(b.split()) and name_score(a, b) >= FUZZY:
+            assert keys[a][0] & keys[b][1], (a, b)
+    # work grows with the names and not with the square of those called Juan
+    many = [f"juan {x}{y}nte" for x in ("zor", "qui", "mor", "bel", "tra") for y in ("bale", "mera", "tela", "vira", "goli")]
+    assert all(sum(bool(block_keys(m.split(), FUZZY, True) & block_keys(n.split(), FUZZY, False)) for n in many) < len(many) / 2 for m in many)
+
+
 def test_quality_counts_fuzzy_candidates(spark, monkeypatch):
     from tramaspark.plans import graph as G
     from tramaspark.plans.reference import QUERIES

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import accumulate, permutations
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,10 +14,12 @@ from ..functions.text import name_tokens, slug
 from ..runtime import cut, lookup
 
 FUZZY, MOST_SLUGS = 0.96, 3
-#: A word that more names hold is worked as pairs of sub-blocks of so many.
+#: A key that more names hold is worked as pairs of sub-blocks of so many.
 BLOCK = 1500
 #: Names of more words may miss one and still be alike enough.
 MOST_WORDS = 20
+#: Names of more words are keyed by one word.
+MOST_PAIRED = 6
 
 
 def placeholders(kin: DataFrame) -> DataFrame:
@@ -37,34 +43,77 @@ def exact_candidates(kin: DataFrame, persons: DataFrame) -> DataFrame:
     )
 
 
+def block_keys(words: list[str], least: float, own: bool) -> set[str]:
+    """Keys of a name's distinct words: names that share a word and score `least` share a key. own: keys for the name's own spelling; the other
+    side (own=False) has those of all words one slip away.
+
+    Let two names of k words be so short that one word more or less costs too much. A score of `least` then leaves a loss of
+    (1 - least) * k to all words together. A word without a counterpart one slip away loses 1 / (letters + 1) at least, so
+    only so many can be without one. If these leave another word beside the one shared, the key is the shared word with a
+    half of the other: of two words one slip apart, the first half is the same or what follows it. Otherwise, and for names
+    of many words, the key is the shared word alone.
+    """
+    k = len(words)
+    if k > MOST_PAIRED or any(0.5 + few / (few + many) >= least - 1e-6 for few, many in ((k - 1, k), (k, k + 1)) if few):
+        return {f"*:{w}" for w in words}
+    loss = accumulate(sorted(1 / (len(w) + 1) for w in words))
+    lost = sum(x <= (1 - least + 1e-6) * k + 1e-9 for x in loss)
+    out = {f"{k}:{w}" for w in words} if lost > k - 2 else set()
+    tried = sorted(words, key=lambda v: (-len(v), v))
+    for w in words:
+        for v in [v for v in tried if v != w][: lost + 1 if own else None]:
+            for n in (len(v),) if own else (len(v) - 1, len(v), len(v) + 1):
+                h = n // 2
+                out |= {f"{k}:{w}:{n}<{v[:h]}", f"{k}:{w}:{n}>{v[max(0, len(v) - n + h):]}"}
+    return out
+
+
+def _keyed(names: DataFrame, words: str, least: float, own: bool) -> DataFrame:
+    """(id, key): the keys as numbers; that two keys have one number only adds pairs, which are judged like all others."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(n, key) for n, ws in zip(pdf["id"], pdf[words], strict=True) for key in block_keys(list(ws), least, own)]
+            yield pd.DataFrame({"id": [r[0] for r in rows], "key": [r[1] for r in rows]}).astype({"id": "int64", "key": "object"})
+
+    return names.select("id", words).mapInPandas(run, "id long, key string").select("id", F.xxhash64("key").alias("key"))
+
+
 def fuzzy_candidates(kin: DataFrame, persons: DataFrame, least: float = FUZZY, most: int = MOST_SLUGS) -> DataFrame:
     """The same by similarity, for placeholders without an exact one: the best `most` slugs, all their persons.
 
     Every pair that shares any word is a candidate, if the number of words differs by two at most and leaves room for a
     score of `least`: of the two coefficients that a score is the mean of, one cannot exceed that of the fewer words all
-    found among the more. A pair is made by the first word it shares only. Before a pair is scored in Python, the JVM drops
-    those that cannot reach `least`: of names of as many words, up to MOST_WORDS, every word needs a counterpart one slip
-    away, or one at least SOFT alike, whose edit distance is then at most 1 - SOFT of both lengths.
+    found among the more. Of these, block_keys leaves out most that cannot score `least`: else the pairs would grow with the
+    square of a given name's bearers. Before a pair is scored in Python, the JVM drops those that cannot reach `least`: of
+    names of as many words, up to MOST_WORDS, every word needs a counterpart one slip away, or one at least SOFT alike,
+    whose edit distance is then at most 1 - SOFT of both lengths.
     """
     named = persons.where("persona_key is not null and nombre is not null").select(F.col("persona_key").alias("candidate_key"), slug(F.col("nombre")).alias("cslug"))
-    slugs = named.select("cslug").distinct().withColumn("ct", name_tokens(F.col("cslug")))
+    numbered = lambda df: cut(df.withColumn("id", F.monotonically_increasing_id()))
+    slugs = numbered(named.select("cslug").distinct().withColumn("ct", name_tokens(F.col("cslug"))))
     exact = exact_candidates(kin, persons).select("placeholder_key").distinct()
-    held = placeholders(kin).join(exact, "placeholder_key", "left_anti").withColumn("slug", F.substring("placeholder_key", len("nombre:") + 1, 10_000)).withColumn("pt", name_tokens(F.col("slug")))
+    held = numbered(placeholders(kin).join(exact, "placeholder_key", "left_anti").withColumn("pt", name_tokens(F.substring("placeholder_key", len("nombre:") + 1, 10_000))))
     few, many = F.least(F.size("ct"), F.size("pt")), F.greatest(F.size("ct"), F.size("pt"))
-    fits = (many - few <= 2) & (0.5 + few / (few + many) >= least - 1e-6)
-    ours, theirs = held.select("placeholder_key", "slug", "pt", F.explode("pt").alias("word")), slugs.select("cslug", "ct", F.explode("ct").alias("word"))
-    parts = lambda df, name: df.groupBy("word").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
-    split = cut(parts(ours, "pn").join(parts(theirs, "cn"), "word"))
-    own = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    fits = (many - few <= 2) & (0.5 + few / (few + many) >= least - 1e-6) & F.arrays_overlap("pt", "ct")
+    fewer = held.count() <= slugs.count()  # the fewer names have the more keys
+    ours = cut(_keyed(held, "pt", least, own=not fewer))
+    theirs = cut(_keyed(slugs, "ct", least, own=fewer).join(ours.select("key"), "key", "left_semi"))
+    count = lambda df, name: df.groupBy("key").agg(F.count("*").alias(name))
+    split = cut(count(ours, "pn").join(count(theirs, "cn"), "key"))
+    rows = split.agg(F.coalesce(F.greatest(F.max("pn"), F.max("cn")), F.lit(0))).collect()[0][0]
+    split = split.select("key", *(F.ceil(F.col(c) / BLOCK).cast("int").alias(c) for c in ("pn", "cn")))
+    part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = lookup(ours, split, "word", how="inner").select("word", "placeholder_key", "slug", "pt", own("placeholder_key", "pn").alias("x"), every("cn").alias("y"))
-    right = lookup(theirs, split, "word", how="inner").select("word", "cslug", "ct", every("pn").alias("x"), own("cslug", "cn").alias("y"))
+    left = lookup(ours, split, "key", how="inner", rows=rows).select("key", "id", part("pn").alias("x"), every("cn").alias("y")).join(held, "id")
+    right = lookup(theirs, split, "key", how="inner", rows=rows).select("key", "id", every("pn").alias("x"), part("cn").alias("y")).join(slugs, "id")
+    both = left.drop("id").join(right.drop("id"), ["key", "x", "y"])
     slips = lambda x, y: F.greatest(F.lit(1), F.floor((1 - SOFT) * (F.length(x) + F.length(y)) + 1e-9))
     matched = F.forall(F.array_except("pt", "ct"), lambda x: F.exists("ct", lambda y: F.levenshtein(x, y) <= slips(x, y)))
     may = matched if least > 1 - 1 / MOST_WORDS else F.lit(True)
     may = F.when((F.size("pt") == F.size("ct")) & (F.size("pt") <= MOST_WORDS), may).otherwise(True)
-    pairs = left.join(right, ["word", "x", "y"]).where(fits & may & (F.element_at(F.array_intersect("pt", "ct"), 1) == F.col("word")))
-    scored = pairs.select("placeholder_key", "slug", "cslug").withColumn("score", name_similarity("slug", "cslug")).where(F.col("score") >= least)
+    pairs = both.where(fits & may).select("placeholder_key", "cslug").distinct()
+    scored = pairs.withColumn("slug", F.substring("placeholder_key", len("nombre:") + 1, 10_000)).withColumn("score", name_similarity("slug", "cslug")).where(F.col("score") >= least)
     best = scored.withColumn("k", F.row_number().over(Window.partitionBy("placeholder_key").orderBy(F.desc("score"), "cslug"))).where(F.col("k") <= most)
     return best.join(named, "cslug").select(
         "placeholder_key", "candidate_key", F.lit("set_dice_typo_v1").alias("metodo"), F.bround("score", 3).alias("score"), "slug",
