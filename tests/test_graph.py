@@ -89,6 +89,43 @@ def test_names_that_share_a_given_name_alone_make_no_pair():
     assert all(sum(bool(block_keys(m.split(), FUZZY, True) & block_keys(n.split(), FUZZY, False)) for n in many) < len(many) / 2 for m in many)
 
 
+def test_fuzzy_pairs_grow_with_the_names_and_none_is_lost(spark, monkeypatch):
+    import random
+
+    from tramaspark.functions.similarity import name_score, token_set
+    from tramaspark.operators import reconcile as R
+
+    rng = random.Random(7)
+    given = ["juan", "ana", "carlos", "maria", "guadalupe", "norte"]
+    family = [a + b + c for a in ("zor", "qui", "mor") for b in ("ba", "mele", "rantasta") for c in ("nte", "goli", "lendabalte")] + ["urbanquistelandarenatobal", "quelmorandizabalgoitia"]
+
+    def slip(word, times):
+        for _ in range(times):
+            i, kind = rng.randrange(len(word)), rng.randrange(4)
+            word = word[:i] + {0: "", 1: "x" + word[i], 2: "y", 3: word[i + 1 : i + 2] + word[i]}[kind] + word[i + 1 + (kind == 3) :]
+        return word
+
+    named = sorted({" ".join(rng.sample(given, g) + rng.sample(family, f)) for g, f in ((0, 1), (1, 1), (1, 1), (2, 1), (1, 2), (2, 2), (3, 2), (4, 3), (5, 8), (6, 16)) for _ in range(12)})
+    typed = sorted({"_".join(slip(w, rng.choice((0, 0, 1, 1, 2)) if len(w) > 3 else 0) for w in n.split() if rng.random() < 0.98) for n in named for _ in range(3)} - {n.replace(" ", "_") for n in named} - {""})
+    people = spark.createDataFrame([(f"r:{n}", n) for n in named], "persona_key string, nombre string")
+    kin = spark.createDataFrame([(f"nombre:{t}", "x") for t in typed], "source_key string, target_key string")
+    want = set()
+    for t in typed:
+        scores = {n: name_score(t, n) for n in named if token_set(t) & token_set(n) and abs(len(token_set(t)) - len(token_set(n))) <= 2}
+        want |= {(t, n) for n, s in sorted(scores.items(), key=lambda x: (-x[1], x[0].replace(" ", "_")))[: R.MOST_SLUGS] if s >= R.FUZZY}
+    assert {(r.slug, r.candidate_key[2:]) for r in fuzzy_candidates(kin, people).collect()} == want and len(want) > 50
+
+    # names of two words, of which one is long, are not all paired by the other
+    tried = []
+    pairs = R._pairs
+    monkeypatch.setattr(R, "_pairs", lambda a, b: tried.append(pairs(a, b).count()) or pairs(a, b))
+    many = [f"juan {a}{b}{c}lente" for a in ("zor", "qui", "mor", "bel", "tra") for b in ("bale", "mera", "tela", "vira", "goli") for c in ("nda", "sque", "rto", "mbi")]
+    people = spark.createDataFrame([(f"r:{n}", n) for n in many], "persona_key string, nombre string")
+    kin = spark.createDataFrame([(f"nombre:{n.replace(' ', '_')}s", "x") for n in many], "source_key string, target_key string")
+    assert {(r.slug, r.candidate_key) for r in fuzzy_candidates(kin, people).collect()} == {(f"{n.replace(' ', '_')}s", f"r:{n}") for n in many}
+    assert tried[0] < 3 * len(many)
+
+
 def test_quality_counts_fuzzy_candidates(spark, monkeypatch):
     from tramaspark.plans import graph as G
     from tramaspark.plans.reference import QUERIES

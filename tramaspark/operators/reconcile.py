@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate, permutations
+from itertools import accumulate
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import SOFT, name_similarity
 from ..functions.text import name_tokens, slug
 from ..runtime import cut, lookup
+from .near_words import LONGEST, near_words
 
 FUZZY, MOST_SLUGS = 0.96, 3
 #: A key that more names hold is worked as pairs of sub-blocks of so many.
@@ -79,40 +80,91 @@ def _keyed(names: DataFrame, words: str, least: float, own: bool) -> DataFrame:
     return names.select("id", words).mapInPandas(run, "id long, key string").select("id", F.xxhash64("key").alias("key"))
 
 
-def fuzzy_candidates(kin: DataFrame, persons: DataFrame, least: float = FUZZY, most: int = MOST_SLUGS) -> DataFrame:
-    """The same by similarity, for placeholders without an exact one: the best `most` slugs, all their persons.
+def _lost(words: Column, least: float) -> Column:
+    """How many words of a name may be without a counterpart one slip away, as in block_keys."""
+    most = (1 - least + 1e-6) * F.size(words) + 1e-9
+    add = lambda a, x: F.struct((a["s"] + x).alias("s"), (a["n"] + F.when(a["s"] + x <= most, 1).otherwise(0)).alias("n"))
+    losses = F.array_sort(F.transform(words, lambda w: 1 / (F.length(w) + F.lit(1.0))))
+    return F.aggregate(losses, F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n")), add, lambda a: a["n"])
+
+
+def _word_keys(held: DataFrame, slugs: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """(id, key) of held and of slugs: names up to MOST_WORDS words of LONGEST letters that share a word and score `least` share a key.
+
+    The key is two words of the name: the one shared, and another that is the same or one slip away, of which one of the
+    two names takes the other's spelling: the one whose word has fewer names. So a given name is not spelt in all its slips
+    by all its bearers. Of the words beside the shared one, so many of the longest are tried that one must have such a
+    counterpart; where all may be without, near_words has those alike enough for names of two and three words. In a name of
+    six or more another one always has: were none of them, each would lose 1 / (LONGEST + 1), which is too much. Names of up
+    to five words score `least` only with as many words.
+    """
+    size = lambda words: F.least(F.size(words), F.lit(6))
+    key = lambda words, w, x: F.xxhash64(size(words), F.least(w, x), F.greatest(w, x))
+    single = lambda words, others: F.when(F.size(words) == 1, F.array(key(words, F.get(words, F.lit(0)), F.get(words, F.lit(0))))).otherwise(others)
+    every = lambda keys: F.explode(F.array_distinct(keys)).alias("key")
+    p, c = F.col("pt"), F.col("ct")
+    slugs = slugs.where((F.size(c) > 0) & (F.size(c) <= MOST_WORDS + 2))
+    tried = F.array_sort(F.transform(p, lambda w: F.struct((-F.length(w)).alias("letters"), w.alias("word"))))["word"]
+    held = held.where(F.size(p) > 0).withColumn("tried", tried).withColumn("n", F.when(F.size(p) < 6, _lost(p, least) + 1).otherwise(F.size(p)))
+    beside = lambda w: F.slice(F.filter("tried", lambda v: v != w), F.lit(1), F.col("n"))
+
+    words = lambda df, col, free: df.select(F.explode(col).alias("word"), free.alias("free")).groupBy("word").agg(F.count("*").alias("n"), F.max("free").alias("free")).select("word", "n", (F.col("free") & (F.length("word") >= 12)).alias("soft"))
+    near = cut(near_words(words(held, "pt", F.col("n") > F.size(p) - 1), words(slugs, "ct", F.size(c).between(2, 3)), 2 * (1 - least)))
+    ours = held.select("id", "pt", "tried", "n", F.explode("pt").alias("v")).join(near.where("ours").select("v", "u"), "v")
+    theirs = slugs.select("id", "ct", F.explode("ct").alias("u")).join(near.where("not ours").select("v", "u"), "u")
+    ours = ours.select("id", every(F.transform(F.filter(p, lambda w: (w != F.col("v")) & F.array_contains(beside(w), F.col("v"))), lambda w: key(p, w, F.col("u")))))
+    theirs = theirs.select("id", every(F.transform(F.filter(c, lambda w: w != F.col("u")), lambda w: key(c, w, F.col("v")))))
+    as_typed = held.select("id", every(single(p, F.flatten(F.transform(p, lambda w: F.transform(beside(w), lambda v: key(p, w, v)))))))
+    on_record = slugs.select("id", every(single(c, F.flatten(F.transform(c, lambda w: F.transform(F.filter(c, lambda x: x > w), lambda x: key(c, w, x)))))))
+    return as_typed.unionByName(ours), on_record.unionByName(theirs)
+
+
+def _pairs(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """(pid, cid) of the ids that share a key, each pair once."""
+    ours = cut(ours)
+    theirs = cut(theirs.join(ours.select("key"), "key", "left_semi"))
+    count = lambda df, name: df.groupBy("key").agg(F.count("*").alias(name))
+    most = lambda df: df.agg(F.coalesce(F.max("n"), F.lit(0))).collect()[0][0]
+    rows = max(most(count(ours, "n")), most(count(theirs, "n")))
+    if rows <= BLOCK:
+        return ours.withColumnRenamed("id", "pid").join(theirs.withColumnRenamed("id", "cid"), "key").select("pid", "cid").distinct()
+    split = cut(count(ours, "pn").join(count(theirs, "cn"), "key").select("key", *(F.ceil(F.col(n) / BLOCK).cast("int").alias(n) for n in ("pn", "cn"))))
+    part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = lookup(ours, split, "key", how="inner", rows=rows).select("key", F.col("id").alias("pid"), part("pn").alias("x"), every("cn").alias("y"))
+    right = lookup(theirs, split, "key", how="inner", rows=rows).select("key", F.col("id").alias("cid"), every("pn").alias("x"), part("cn").alias("y"))
+    return left.join(right, ["key", "x", "y"]).select("pid", "cid").distinct()
+
+
+def fuzzy_candidates(kin: DataFrame, persons: DataFrame, least: float = FUZZY, most: int = MOST_SLUGS, exact: DataFrame | None = None) -> DataFrame:
+    """The same by similarity, for placeholders without an exact one: the best `most` slugs, all their persons. exact: the exact candidates, if they are there.
 
     Every pair that shares any word is a candidate, if the number of words differs by two at most and leaves room for a
     score of `least`: of the two coefficients that a score is the mean of, one cannot exceed that of the fewer words all
-    found among the more. Of these, block_keys leaves out most that cannot score `least`: else the pairs would grow with the
-    square of a given name's bearers. Before a pair is scored in Python, the JVM drops those that cannot reach `least`: of
+    found among the more. Of these, _word_keys leaves out most that cannot score `least`: else the pairs would grow with the
+    square of a given name's bearers. Names of longer or more words than it takes, and those on record that can be as much
+    like them, are keyed by block_keys. Before a pair is scored in Python, the JVM drops those that cannot reach `least`: of
     names of as many words, up to MOST_WORDS, every word needs a counterpart one slip away, or one at least SOFT alike,
     whose edit distance is then at most 1 - SOFT of both lengths.
     """
-    named = persons.where("persona_key is not null and nombre is not null").select(F.col("persona_key").alias("candidate_key"), slug(F.col("nombre")).alias("cslug"))
+    named = cut(persons.where("persona_key is not null and nombre is not null").select(F.col("persona_key").alias("candidate_key"), slug(F.col("nombre")).alias("cslug")))
     numbered = lambda df: cut(df.withColumn("id", F.monotonically_increasing_id()))
     slugs = numbered(named.select("cslug").distinct().withColumn("ct", name_tokens(F.col("cslug"))))
-    exact = exact_candidates(kin, persons).select("placeholder_key").distinct()
+    exact = (exact_candidates(kin, persons) if exact is None else exact).select("placeholder_key").distinct()
     held = numbered(placeholders(kin).join(exact, "placeholder_key", "left_anti").withColumn("pt", name_tokens(F.substring("placeholder_key", len("nombre:") + 1, 10_000))))
+    longer = lambda words, n: F.exists(words, lambda w: F.length(w) > n)
+    odd = longer("pt", LONGEST) | (F.size("pt") > MOST_WORDS) if least >= FUZZY else F.lit(True)
+    as_odd = longer("ct", LONGEST * 0.7) | (F.size("ct") > 5) if least >= FUZZY else F.lit(True)
+    ours, theirs = _word_keys(held.where(~odd), slugs, least)
+    both = _pairs(ours.unionByName(_keyed(held.where(odd), "pt", least, own=False)), theirs.unionByName(_keyed(slugs.where(as_odd), "ct", least, own=True)))
+    both = both.join(held.withColumnRenamed("id", "pid"), "pid").join(slugs.withColumnRenamed("id", "cid"), "cid")
     few, many = F.least(F.size("ct"), F.size("pt")), F.greatest(F.size("ct"), F.size("pt"))
     fits = (many - few <= 2) & (0.5 + few / (few + many) >= least - 1e-6) & F.arrays_overlap("pt", "ct")
-    fewer = held.count() <= slugs.count()  # the fewer names have the more keys
-    ours = cut(_keyed(held, "pt", least, own=not fewer))
-    theirs = cut(_keyed(slugs, "ct", least, own=fewer).join(ours.select("key"), "key", "left_semi"))
-    count = lambda df, name: df.groupBy("key").agg(F.count("*").alias(name))
-    split = cut(count(ours, "pn").join(count(theirs, "cn"), "key"))
-    rows = split.agg(F.coalesce(F.greatest(F.max("pn"), F.max("cn")), F.lit(0))).collect()[0][0]
-    split = split.select("key", *(F.ceil(F.col(c) / BLOCK).cast("int").alias(c) for c in ("pn", "cn")))
-    part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = lookup(ours, split, "key", how="inner", rows=rows).select("key", "id", part("pn").alias("x"), every("cn").alias("y")).join(held, "id")
-    right = lookup(theirs, split, "key", how="inner", rows=rows).select("key", "id", every("pn").alias("x"), part("cn").alias("y")).join(slugs, "id")
-    both = left.drop("id").join(right.drop("id"), ["key", "x", "y"])
     slips = lambda x, y: F.greatest(F.lit(1), F.floor((1 - SOFT) * (F.length(x) + F.length(y)) + 1e-9))
     matched = F.forall(F.array_except("pt", "ct"), lambda x: F.exists("ct", lambda y: F.levenshtein(x, y) <= slips(x, y)))
     may = matched if least > 1 - 1 / MOST_WORDS else F.lit(True)
     may = F.when((F.size("pt") == F.size("ct")) & (F.size("pt") <= MOST_WORDS), may).otherwise(True)
-    pairs = both.where(fits & may).select("placeholder_key", "cslug").distinct()
+    pairs = both.where(fits & may).select("placeholder_key", "cslug")
     scored = pairs.withColumn("slug", F.substring("placeholder_key", len("nombre:") + 1, 10_000)).withColumn("score", name_similarity("slug", "cslug")).where(F.col("score") >= least)
     best = scored.withColumn("k", F.row_number().over(Window.partitionBy("placeholder_key").orderBy(F.desc("score"), "cslug"))).where(F.col("k") <= most)
     return best.join(named, "cslug").select(
@@ -122,4 +174,5 @@ def fuzzy_candidates(kin: DataFrame, persons: DataFrame, least: float = FUZZY, m
 
 
 def candidates(kin: DataFrame, persons: DataFrame) -> DataFrame:
-    return exact_candidates(kin, persons).unionByName(fuzzy_candidates(kin, persons))
+    exact = cut(exact_candidates(kin, persons))
+    return exact.unionByName(fuzzy_candidates(kin, persons, exact=exact))
