@@ -115,6 +115,9 @@ def test_fuzzy_pairs_grow_with_the_names_and_none_is_lost(spark, monkeypatch):
         want |= {(t, n) for n, s in sorted(scores.items(), key=lambda x: (-x[1], x[0].replace(" ", "_")))[: R.MOST_SLUGS] if s >= R.FUZZY}
     assert {(r.slug, r.candidate_key[2:]) for r in fuzzy_candidates(kin, people).collect()} == want and len(want) > 50
 
+    bits = spark.createDataFrame([(["ana", "zoe"],), (["anna"],), ([],)], "w array<string>").select(R._letters(F.col("w")).alias("n")).collect()
+    assert [{(chr(97 + i // 2), i % 2) for i in range(52) if r.n >> i & 1} for r in bits] == [{("a", 0), ("a", 1), ("n", 0), ("z", 0), ("o", 0), ("e", 0)}, {("a", 0), ("a", 1), ("n", 0), ("n", 1)}, set()]
+
     # names of two words, of which one is long, are not all paired by the other
     tried = []
     pairs = R._pairs

@@ -96,7 +96,7 @@ def kin_of_grandchildren(spark: SparkSession, d: str, normalized: bool = False)
     own = grandchildren(spark, d).select(F.substring("persona_key", 7, 30).cast("long").alias("id_nietx"), "nombre")
     name = clean_text(F.col("nombre_completo_relacion"))
     number = F.col("id_nietx").cast("string")
-    rows = lookup(rel, own, "id_nietx", how="inner").where(name.isNotNull()).select(
+    rows = lookup(rel, own, "id_nietx", how="inner", counted=table(spark, d, "relaciones")).where(name.isNotNull()).select(
         F.concat(F.lit("nietx:"), number).alias("key"), F.coalesce("nombre", F.concat(F.lit("Nietx "), number)).alias("name"), _other_key(F.col("id_persona"), name).alias("other"),
         name.alias("other_name"), clean_text(F.col("relacion")).alias("word"),
     )

@@ -12,7 +12,7 @@ from ..functions.similarity import name_similarity, place_ratio
 from ..operators import gazetteer
 from ..operators.latest import latest
 from ..operators.place_merge import merges, slip_pairs
-from ..operators.reconcile import candidates, exact_candidates, fuzzy_candidates, placeholders
+from ..operators.reconcile import candidates_of, exact_candidates, fuzzy_candidates, placeholders
 from ..operators.upsert import edge_set, linked, redirect, upsert, violations, with_placeholders
 from ..runtime import cut, table
 from . import analytics as A
@@ -174,13 +174,13 @@ def exact_matches(s: SparkSession, d: str) -> DataFrame:
 
 
 def fuzzy_matches(s: SparkSession, d: str) -> DataFrame:
-    return fuzzy_candidates(cut(G.kinship(s, d)), cut(G.people(s, d)))
+    return fuzzy_candidates(G.kinship(s, d), G.people(s, d))
 
 
 def quality_with_fuzzy(s: SparkSession, d: str) -> DataFrame:
     """A8 over exact and fuzzy candidates; its namesake of the exact ones alone is what its SQL statement counts."""
-    kin, people = cut(G.kinship(s, d)), cut(G.people(s, d))
-    return A.placeholder_quality(placeholders(kin), candidates(kin, people)).withColumn("score_promedio", F.round("score_promedio", 9))
+    held = cut(placeholders(G.kinship(s, d)))
+    return A.placeholder_quality(held, candidates_of(held, G.people(s, d))).withColumn("score_promedio", F.round("score_promedio", 9))
 
 
 def gazetteer_rows(s: SparkSession, d: str) -> DataFrame:
